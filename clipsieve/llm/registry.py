@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: query name: module
 MODULES = {
+    "op7_toxicity": "op7_toxicity",
     "op2_token_counts": "op2_token_counts",
     "op4_source_mixing": "op4_source_mixing",
     "op8_warc_revisits": "op8_warc_revisits",
