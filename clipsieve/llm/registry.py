@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: query name: module
 MODULES = {
+    "op3_quality_classifier": "op3_quality_classifier",
     "op7_toxicity": "op7_toxicity",
     "op2_token_counts": "op2_token_counts",
     "op4_source_mixing": "op4_source_mixing",
