@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: query name: module
 MODULES = {
+    "op5_suffix_array_dedup": "op5_suffix_array_dedup",
     "op1_ngram_jaccard_join": "op1_ngram_jaccard_join",
     "op10_html_extraction": "op10_html_extraction",
     "op6_nearest_neighbours": "op6_nearest_neighbours",
