@@ -166,14 +166,14 @@ def hot_marks(contexts: DataFrame) -> DataFrame:
     return w.join(least, "w").where(~F.struct("id", "th", "start").eqNullSafe(F.col("o"))).select("id", "th", "start", (F.col("start") + WINDOW).alias("stop"))
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text_col: str, more: list[str] = []) -> DataFrame:  # noqa: B006
     """(id, th, text): th tells documents of equal id apart, and is 0 where the id is unique."""
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
     twice = d.groupBy("id").count().where("count > 1").select(F.col("id").alias("rid"), F.lit(True).alias("again"))
     if twice.isEmpty():
-        return d.select("id", F.lit(0).cast("long").alias("th"), "text")
+        return d.select("id", F.lit(0).cast("long").alias("th"), "text", *more)
     d = d.join(twice, d.id.eqNullSafe(F.col("rid")), "left")
-    return d.select("id", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("th"), "text")
+    return d.select("id", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("th"), "text", *more)
 
 
 def removed_stretches(docs: DataFrame) -> DataFrame:
@@ -236,6 +236,27 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return both.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", id_col)
 
 
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated bytes cut out of its texts. Bytes of a character that was cut in half go too.
+    Rows of which nothing is left go; rows that were empty or null before stay as they are."""
+    cuts = removed_stretches(keyed(docs, id_col, text_col)).withColumnsRenamed({"id": "cid", "th": "cth"})
+    ids = keyed(docs.withColumn("__row", F.struct(*docs.columns)), id_col, text_col, ["__row"])
+    both = ids.join(cuts, ids.id.eqNullSafe(F.col("cid")) & (ids.th == F.col("cth")), "left").select("text", "cuts", "__row")
+
+    def run(batches):
+        for batch, data, offs in slices(batches, "text", 8 << 20):
+            kept = []
+            for i, cuts in enumerate(batch.column(1).to_pylist()):
+                text = data[offs[i] : offs[i + 1]].tobytes()
+                edges = [0, *(x for r in merged(cuts) for x in r), len(text)] if cuts else [0, len(text)]
+                kept.append(b"".join(text[lo:hi] for lo, hi in zip(edges[::2], edges[1::2], strict=True)).decode("utf-8", "ignore") if cuts else None)
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), batch.column(2)], names=["kept", "row"])
+
+    row = docs.select(F.struct(*docs.columns).alias("row")).schema["row"].dataType.simpleString()
+    out = both.mapInArrow(run, f"kept string, row {row}").where(F.col("kept").isNull() | (F.col("kept") != ""))
+    return out.select(*[(F.coalesce("kept", f"row.`{c}`") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
