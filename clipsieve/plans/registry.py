@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, geometry, hashing, specs, text
 from ..functions.predicates import codes
-from ..operators import assemble, calibrate, dedup, judge, lineage, packing, robust, select, semantic, split, trajectory
+from ..operators import assemble, calibrate, dedup, judge, lineage, packing, robust, select, semantic, split, trajectory, validate
 from ..streaming import ingest
 from .views import CLIPS_SQL, JUDGED_SQL, ORDER, POLICIES, clips, table
 
@@ -407,6 +407,35 @@ def stream_counts(spark, sf):
     return spark.read.parquet(f"{home}/rows").groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count("*").alias("n"))
 
 
+@query("SELECT l_suppkey, round(1000 * regr_slope(1 / l_extendedprice, 1 / l_quantity), 6) AS slope, round(1e6 * regr_intercept(1 / l_extendedprice, 1 / l_quantity), 4) AS intercept FROM lineitem GROUP BY 1")
+def disparity_fit(spark, sf):
+    d = validate.disparity_fit(table(spark, sf, "lineitem"), "l_suppkey", "l_extendedprice", "l_quantity")
+    return d.select("l_suppkey", F.round(1000 * F.col("slope"), 6).alias("slope"), F.round(1e6 * F.col("intercept"), 4).alias("intercept"))
+
+
+@query("SELECT l_returnflag, decile, count(*) AS n, round(median(l_quantity / l_extendedprice), 10) AS ratio FROM (SELECT *, CAST(ntile(10) OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_quantity) AS INT) AS decile FROM lineitem) GROUP BY 1, 2")
+def decile_ratios(spark, sf):
+    d = validate.decile_ratios(table(spark, sf, "lineitem"), "l_returnflag", "l_quantity", "l_extendedprice")
+    return d.select("l_returnflag", "decile", "n", F.round("ratio", 10).alias("ratio"))
+
+
+@query("SELECT o_custkey, array_to_string(list_sort(list_filter(['F', 'O', 'P'], lambda x: NOT list_contains(h, x))), ',') AS missing, len(h) = 3 AS complete FROM (SELECT o_custkey, array_agg(DISTINCT o_orderstatus) AS h FROM orders GROUP BY 1)")
+def complete_groups(spark, sf):
+    d = validate.complete_groups(table(spark, sf, "orders"), "o_custkey", "o_orderstatus", ["F", "O", "P"])
+    return d.select("o_custkey", F.array_join("missing", ",").alias("missing"), "complete")
+
+
+@query("SELECT conv_id, turn, arg_max(role, CAST(length(text) AS BIGINT) * 10 + CASE role WHEN 'user' THEN 1 ELSE 0 END) AS role FROM conversations GROUP BY 1, 2")
+def last_split_wins(spark, sf):
+    c = table(spark, sf, "conversations").withColumn("split", F.length("text").cast("long") * 10 + F.when(F.col("role") == "user", 1).otherwise(0))
+    return validate.merge_split_frames(c, "conv_id", "split", "turn", "role").select("conv_id", "turn", "role")
+
+
+@query("SELECT doc_id, CASE WHEN n_chars % 70000 <= 0 OR n_chars % 70000 >= 65535 THEN -1.0 ELSE round(2.0 / (1.0 / 100 + CAST(n_chars % 70000 AS DOUBLE) / 65535 * (1.0 / 0.5 - 1.0 / 100)), 9) END AS depth FROM documents")
+def depth_decode(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.round(validate.decode_depth(F.col("n_chars") % 70000, 0.5, 100.0, 2.0), 9).alias("depth"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

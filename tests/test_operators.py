@@ -188,3 +188,39 @@ def test_stream(spark, tmp_path):
     q = ingest.run_once(ingest.unseen(ingest.clip_stream(spark, str(src), 1).select("clip_id"), "clip_id"), ingest.batch_folder(str(tmp_path / "out")), str(tmp_path / "ck"))
     q.awaitTermination()
     assert sorted(r.clip_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_validate(spark):
+    from clipsieve.operators import validate
+
+    eye = np.eye(4).ravel().tolist()
+    bent = (np.eye(4) * [2, 1, 1, 1]).ravel().tolist()
+    flip = (np.eye(4) * [-1, 1, 1, 1]).ravel().tolist()
+    low = [*eye[:12], 1.0, 0.0, 0.0, 1.0]
+    d = spark.createDataFrame([("a", [eye]), ("b", [bent]), ("c", [flip]), ("d", [low]), ("e", []), ("f", [[float("nan")] * 16]), ("g", None)], "k string, poses array<array<double>>")
+    got = {r.k: r.p for r in d.select("k", validate.pose_defects(F.col("poses")).alias("p")).collect()}
+    assert got == {"a": [], "b": ["orthonormal", "handed"], "c": ["handed"], "d": ["bottom_row"], "e": ["shape"], "f": ["finite"], "g": ["shape"]}
+    c = spark.createDataFrame([("a", 24.2, 121, [eye] * 121, [(1.0, 1.0)] * 121), ("b", 30.0, 5, [eye], [(0.0, 1.0)])], "k string, fps double, num_frames int, poses array<array<double>>, intrinsics array<struct<fx:double,fy:double>>")
+    assert {r.k: r.d for r in c.select("k", validate.clip_defects(24.0).alias("d")).collect()} == {"a": [], "b": ["pose_count", "intrinsics_count", "length", "fps", "focal"]}
+    t = spark.createDataFrame([("x", 81), ("y", 81), ("z", 160)], "output_clip_id string, n int")
+    g = spark.createDataFrame([("x", 81), ("y", 80), ("w", 1)], "output_clip_id string, n int")
+    assert {r[0]: r[1] for r in validate.delivery_defects(t, g, equal=("n",)).collect()} == {"x": [], "y": ["n"], "z": ["missing"], "w": ["stray"]}
+    w = spark.createDataFrame([("k", s, e) for s, e in ((3.0, 0.1), (3.1, 0.1), (2.9, 0.1), (9.0, 0.1), (3.0, 0.9))], "k string, scale double, nrmse double")
+    r = validate.window_consensus(w, "k").first()
+    assert r.scale == pytest.approx(3.0) and (r.windows, r.inliers) == (5, 3)
+
+
+def test_jobs(spark):
+    from clipsieve.plans import jobs
+
+    d = spark.createDataFrame([("o", f"c{i}", "high" if i % 2 else None, 100 + i, True, 10, "c") for i in range(20)], "owner string, clip_id string, kept_tier string, num_frames int, judged boolean, bytes long, source string")
+    train, test, rep = jobs.build_recipe(d, per_owner=3, repeats={"o": 2})
+    assert (train.count(), test.count(), rep.first().virtual) == (7, 3, 14)
+    with pytest.raises(ValueError):
+        jobs.build_recipe(d, repeats={"nobody": 2})
+    a, b = jobs.build_window_view(d, 50, per_owner=3)
+    assert a.count() + b.count() == 20 and not {r.clip_id for r in a.collect()} & {r.clip_id for r in b.collect()}
+    p = jobs.pack(d, 25)
+    assert p.where("wds_partition = 'rejected'").select("wds_shard").distinct().count() == 5
+    with pytest.raises(PySparkException):
+        jobs.pack(d.withColumn("judged", F.lit(False))).collect()
