@@ -60,19 +60,25 @@ class Shard:
 
         ordered = self.ends  # a separator's suffix is ranked by the separator alone
         push(ordered, False, larger)
+
+        def waves(into: list, c: int, want: bool) -> np.ndarray:
+            """Pushes what waits in a bucket, as one wave, until no wave adds to the bucket itself."""
+            done = []
+            while into[c]:
+                wave = np.concatenate(into[c])
+                into[c] = []
+                push(wave, want, into)
+                done.append(wave)
+            into[c] = [np.concatenate(done)] if done else []
+            return into[c][0] if done else np.zeros(0, np.int64)
+
         for c in range(256):
-            k = 0
-            while k < len(larger[c]):  # a wave may append to its own bucket
-                push(larger[c][k], False, larger)
-                k += 1
+            waves(larger, c, False)
             push(rest[cut[c] : cut[c + 1]], False, larger)
         less: list[list[np.ndarray]] = [[] for _ in range(256)]
         for c in range(255, -1, -1):
-            k = 0
-            while k < len(less[c]):
-                push(less[c][k], True, less)
-                k += 1
-            for part in reversed(larger[c]):
+            waves(less, c, True)
+            for part in larger[c]:
                 push(part[::-1], True, less)
         parts = [ordered]
         for c in range(256):
