@@ -68,13 +68,13 @@ def out_batch(schema: list[tuple[str, pa.DataType]], *cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for (_, t), c in zip(schema, cols, strict=True)], names=[n for n, _ in schema])
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes the files of a ``durable`` table that nothing reads any more, and lets Spark drop unreachable shuffle files."""
+def forget(spark: SparkSession, *tables: list[str]) -> None:
+    """Deletes the files of ``durable`` tables, given by their inputFiles, that nothing reads any more, and lets Spark drop
+    the shuffle files of DataFrames that the caller has let go."""
     import gc
 
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for d in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for d in {f.rsplit("/", 1)[0] for files in tables for f in files}:
         path = jvm.org.apache.hadoop.fs.Path(d)
         path.getFileSystem(conf).delete(path, True)
     gc.collect()

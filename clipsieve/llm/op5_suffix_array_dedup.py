@@ -7,7 +7,8 @@ document and earlier place) is removed; overlaps count, and strings are judged o
    equals). Equal windows have equal anchors at equal offsets. The windows of one anchor make a context, a stretch of under 180 bytes.
 2. Anchors that occur once are dropped (no window of theirs repeats). Contexts with equal bytes are
    one context with its earliest occurrence; in all others of its occurrences every window repeats.
-3. The different contexts of an anchor meet in one shard. A shard's suffix array is built by induced
+3. An equal window holds, beside its anchor, the 38 bytes to the left or the 38 to the right in full: contexts that share
+   neither with another of their anchor's are done. The rest of an anchor's different contexts meet in one shard. A shard's suffix array is built by induced
    sorting and its permuted common prefixes computed; neighbours that share 100 bytes are equal windows, and
    all but the earliest of each such class are marked in their context's first occurrence. Anchors with over ``HOT`` different contexts are
    resolved by counts of their windows' hashes instead, exactly and without gathering them.
@@ -34,6 +35,7 @@ from .induced_sort import Shard
 
 WINDOW, K, HOT = 100, 24, 20_000
 SPAN = WINDOW - K + 1  # places an anchor can have in a window
+HALF = SPAN // 2
 U = np.uint64
 
 
@@ -47,10 +49,13 @@ _G = U(0x5851F42D4C957F2D)
 
 
 def anchors(data: np.ndarray, offs: np.ndarray):
-    """(document, start, length, anchor offset, anchor hash, context hash) of each context."""
+    """(document, start, length, anchor offset, anchor hash, context hash, two 32-bit hashes) of each context.
+
+    The last are of the anchor with HALF bytes before and after it, the one before in the high bits, and 0 where
+    no window of the context holds them."""
     n = len(data)
     size = np.diff(offs)
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, U, U))
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, U, U, U))
     if n < WINDOW or size.max(initial=0) < WINDOW:
         return none
     words = np.ndarray((n,), "<u8", np.concatenate([data, np.zeros(32, np.uint8)]).tobytes(), strides=(1,))
@@ -75,21 +80,23 @@ def anchors(data: np.ndarray, offs: np.ndarray):
     p = at[new]
     power = np.cumprod(np.full(n + 1, _G, U), dtype=U)
     sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTE[data] * power[:n], dtype=U)])
-    c = mix((sums[e] - sums[s0]) * power[n - s0] + (e - s0).astype(U))
-    return doc[new], s0 - offs[doc[new]], e - s0, p - s0, h[p], c
+    stretch = lambda a, b: mix((sums[b] - sums[a]) * power[n - a] + (b - a).astype(U))
+    before = np.where(p - HALF >= s0, stretch(np.maximum(p - HALF, 0), p + K) >> U(32) | U(1), U(0))
+    after = np.where(p + K + HALF <= e, stretch(p, np.minimum(p + K + HALF, n)) >> U(32) | U(1), U(0))
+    return doc[new], s0 - offs[doc[new]], e - s0, p - s0, h[p], stretch(s0, e), before << U(32) | after
 
 
 def context_table(docs: DataFrame) -> DataFrame:
-    """Contexts (h, c, id, th, at) with at = start << 16 | length << 8 | anchor offset."""
+    """Contexts (h, c, id, th, at, near) with at = start << 16 | length << 8 | anchor offset."""
 
     def run(batches):
         for batch, data, offs in slices(batches, "text", 4 << 20):
-            doc, start, length, off, h, c = anchors(data, offs)
+            doc, start, length, off, h, c, near = anchors(data, offs)
             which = pa.array(doc)
             at = (start << 16) | (length << 8) | off
-            yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64)), batch.column(0).take(which), batch.column(1).take(which), pa.array(at)], names=["h", "c", "id", "th", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64)), batch.column(0).take(which), batch.column(1).take(which), pa.array(at), pa.array(near.astype(np.int64))], names=["h", "c", "id", "th", "at", "near"])
 
-    return docs.mapInArrow(run, "h long, c long, id long, th long, at long")
+    return docs.mapInArrow(run, "h long, c long, id long, th long, at long, near long")
 
 
 def repeats_in(shard: list[tuple]) -> list[tuple[int, int, int]]:
@@ -178,16 +185,28 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, more: list[str] = []) ->
 
 def removed_stretches(docs: DataFrame) -> DataFrame:
     """(id, th, cuts): for each document that loses something, the stretches [start, stop), unsorted; docs as from ``keyed``."""
+    spark = docs.sparkSession
     every = durable(context_table(docs))
-    often = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    often = durable(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     some = durable(every.join(often, "h"))
-    forget(every)
-    kinds = durable(some.groupBy("h", "c").agg(F.min(F.struct("id", "th", "at")).alias("o"), F.count("*").alias("n")))
-    copies = some.join(kinds.where("n > 1").select("h", "c", "o"), ["h", "c"]).where(~F.struct("id", "th", "at").eqNullSafe(F.col("o")))
+    gone = every.inputFiles(), often.inputFiles()
+    del every, often
+    forget(spark, *gone)
+    kinds = durable(some.groupBy("h", "c").agg(F.min(F.struct("id", "th", "at")).alias("o"), F.count("*").alias("n"), F.first("near").alias("near")))
     start = F.shiftright("at", 16)
-    copies = copies.select("id", "th", start.alias("start"), (start + F.shiftright("at", 8).bitwiseAND(255)).alias("stop"))
-    several = kinds.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    met = kinds.select("h", "o").join(several, "h").select("h", "m", "o.id", "o.th", "o.at")
+    copies = some.join(kinds.where("n > 1").select("h", "c", "o"), ["h", "c"]).where(~F.struct("id", "th", "at").eqNullSafe(F.col("o")))
+    copies = durable(copies.select("id", "th", start.alias("start"), (start + F.shiftright("at", 8).bitwiseAND(255)).alias("stop")))
+    gone = some.inputFiles()
+    del some
+    forget(spark, gone)
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("near", 32).alias("v")), F.struct(F.lit(1).alias("side"), F.col("near").bitwiseAND(0xFFFFFFFF).alias("v")))
+    halves = kinds.select("h", "o", F.explode(sides).alias("x")).select("h", "o", "x.side", "x.v").where("v <> 0")
+    shared = halves.groupBy("h", "side", "v").agg(F.count("*").alias("m")).where("m > 1").drop("m")
+    met = durable(halves.join(shared, ["h", "side", "v"]).select("h", "o").distinct())
+    gone = kinds.inputFiles()
+    del kinds, halves, shared
+    forget(spark, gone)
+    met = met.join(met.groupBy("h").agg(F.count("*").alias("m")), "h").select("h", "m", "o.id", "o.th", "o.at")
     wanted = met.groupBy("id", "th").agg(F.collect_list(F.struct("h", "m", "at")).alias("want"))
     sources = docs.join(wanted.withColumnsRenamed({"id": "wid", "th": "wth"}), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).dropDuplicates(["id", "th"]).select("id", "th", "text", "want")
 
