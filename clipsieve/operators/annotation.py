@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_separated_count, forbidden_wording, has_camera_motion, unfence, with_full_stop, word_count
+from ..functions.text import CAMERA_MOTION, blank_separated_count, forbidden_wording, unfence, with_full_stop, word_count
 
 # Closed vocabularies of the contract and its key sets.
 REJECT_FLAGS = ("text_heavy", "watermark", "ui_overlay", "blurry", "near_static", "low_light", "nsfw", "single_color")
@@ -13,6 +13,9 @@ SCENE_TYPES = ("real_world", "rendered", "game", "animation", "mixed")
 LABELS = ("none", "possible", "definite")
 TOP_KEYS = ("dense_caption", "reject_flags", "scene_transition", "scene_type", "vlm_entity_density", "vlm_quality")
 TRANSITION_KEYS = ("count", "evidence", "label", "timestamps_sec")
+PERSPECTIVES = ("first_person", "third_person", "uncertain")
+STYLES = ("photographic live action", "three-dimensional computer-generated imagery", "two-dimensional animation", "mixed or uncertain visual medium")
+TEXT_LIMITS = {"visual_style": (1, 160), "scene_description": (1, 5000), "scene_dynamics": (0, 2000)}
 PERSPECTIVE_KEYS = ("perspective_type", "scene_description", "scene_dynamics", "visual_style")
 SCHEMA = "struct<vlm_entity_density:string,vlm_quality:string,reject_flags:array<string>,scene_type:string,scene_transition:struct<label:string,count:string,timestamps_sec:array<string>,evidence:string>,dense_caption:string>"
 
@@ -79,19 +82,34 @@ def acceptable_envelope(finish: Column, prompt_tokens: Column, frames: Column) -
     return F.coalesce((finish == "stop") & (prompt_tokens >= F.greatest(F.lit(2000), 200 * frames)), F.lit(False))
 
 
-def fact_errors(raw: Column, limit: int = 4000) -> Column:
-    """First-level errors of the four-field contract: exact keys, texts, length, control characters, camera wording."""
+def fact_errors(raw: Column, guards: dict[str, str] | None = None) -> Column:
+    """Ordered errors of the four-field contract: exact keys, the two enums, then for each text its type, length, outer
+    white space and control characters, English letters, and the names of the guards (name to pattern) that it matches.
+    Without ``guards``, wording of camera motion is the one guard."""
     js = unfence(raw)
-    f = F.from_json(js, "struct<perspective_type:string,visual_style:string,scene_description:string,scene_dynamics:string>")
-    body = F.concat_ws("\n", f["scene_description"], f["scene_dynamics"])
+    v = F.try_parse_json(js)
+    guards = {"camera_motion": "|".join(CAMERA_MOTION)} if guards is None else guards
+    get = lambda k: F.get_json_object(js, f"$.{k}")
+    no = lambda c: ~F.coalesce(c, F.lit(False))
     parts = [
-        ("keys", ~F.coalesce(F.array_sort(F.json_object_keys(js)) == F.array(*map(F.lit, PERSPECTIVE_KEYS)), F.lit(False))),
-        ("description", F.coalesce(F.trim(f["scene_description"]), F.lit("")) == ""),
-        ("length", F.length(body) > limit),
-        ("control", body.rlike(r"[\x00-\x09\x0b-\x1f\x7f]")),
-        ("camera", has_camera_motion(body)),
+        ("not_object", no(F.schema_of_variant(v).startswith("OBJECT"))),
+        ("keys", no(F.array_sort(F.json_object_keys(js)) == F.array(*map(F.lit, PERSPECTIVE_KEYS)))),
+        ("perspective_type", no(get("perspective_type").isin(*PERSPECTIVES))),
+        ("visual_style", no(get("visual_style").isin(*STYLES))),
     ]
-    return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in parts]), lambda n: n.isNotNull())
+    for field, (low, high) in TEXT_LIMITS.items():
+        t, is_text = get(field), F.coalesce(_kind(v, f"$.{field}") == "STRING", F.lit(False))
+        parts += [
+            (f"{field}:type", ~is_text),
+            (f"{field}:length", is_text & ~F.length(t).between(low, high)),
+            (f"{field}:space", is_text & t.rlike(r"^\s|\s$|[\x00-\x1f\x7f]")),
+            (f"{field}:letters", is_text & (t != "") & ~t.rlike("[A-Za-z]")),
+        ]
+        if field == "scene_dynamics":
+            parts.append((f"{field}:empty_word", is_text & F.lower(t).isin("none", "n/a", "no motion", "no movement", "static")))
+        parts += [(f"{field}:{name}", is_text & t.rlike(f"(?i){pattern}")) for name, pattern in guards.items()]
+    found = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in parts]), lambda n: n.isNotNull())
+    return F.when(F.array_contains(found, "not_object"), F.array(F.lit("not_object"))).otherwise(found)
 
 
 def serialise_facts(style: Column, description: Column, dynamics: Column) -> Column:

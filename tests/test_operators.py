@@ -224,3 +224,18 @@ def test_jobs(spark):
     assert p.where("wds_partition = 'rejected'").select("wds_shard").distinct().count() == 5
     with pytest.raises(PySparkException):
         jobs.pack(d.withColumn("judged", F.lit(False))).collect()
+
+
+def test_facts(spark):
+    base = {"perspective_type": "uncertain", "visual_style": "two-dimensional animation", "scene_description": "A stone path by a wall.", "scene_dynamics": ""}
+    cases = {
+        "ok": (base, []), "extra": (base | {"x": 1}, ["keys"]), "enum": (base | {"visual_style": "oil"}, ["visual_style"]), "camera": (base | {"scene_dynamics": "The camera moves on."}, ["scene_dynamics:camera_motion"]),
+        "space": (base | {"scene_description": " A wall"}, ["scene_description:space"]), "static": (base | {"scene_dynamics": "Static"}, ["scene_dynamics:empty_word"]), "number": (base | {"scene_description": 5}, ["scene_description:type"]), "long": (base | {"scene_dynamics": "ab " * 700 + "c"}, ["scene_dynamics:length"]),
+    }
+    d = spark.createDataFrame([(k, json.dumps(v)) for k, (v, _) in cases.items()] + [("no", "[]")], "k string, raw string")
+    got = {r.k: r.e for r in d.select("k", annotation.fact_errors(F.col("raw")).alias("e")).collect()}
+    assert {k: got[k] for k in cases} == {k: e for k, (_, e) in cases.items()} and got["no"] == ["not_object"]
+    own = {r.k: r.e for r in d.select("k", annotation.fact_errors(F.col("raw"), {"walls": r"\bwall\b"}).alias("e")).collect()}
+    assert own["ok"] == ["scene_description:walls"]
+    r = spark.range(1).select(annotation.acceptable_envelope(F.lit("stop"), F.lit(2000), F.lit(8)).alias("a"), annotation.acceptable_envelope(F.lit("length"), F.lit(9000), F.lit(8)).alias("b"), annotation.serialise_facts(F.lit("Style"), F.lit("A wall."), F.lit("")).alias("c")).first()
+    assert tuple(r) == (True, False, "Style. A wall.")
