@@ -239,3 +239,16 @@ def test_facts(spark):
     assert own["ok"] == ["scene_description:walls"]
     r = spark.range(1).select(annotation.acceptable_envelope(F.lit("stop"), F.lit(2000), F.lit(8)).alias("a"), annotation.acceptable_envelope(F.lit("length"), F.lit(9000), F.lit(8)).alias("b"), annotation.serialise_facts(F.lit("Style"), F.lit("A wall."), F.lit("")).alias("c")).first()
     assert tuple(r) == (True, False, "Style. A wall.")
+
+
+def test_sentence_policies(spark):
+    from clipsieve.operators.sentences import STATIC_RULES, Rule, sentence_errors
+
+    rules = [*STATIC_RULES, Rule("walks", "scene_description", r"\bwalks\b", unless_before=r"\banother\b", unless_after=r"^\s+of\b", perspective="third_person", opening=r"A\s+man\b", first_sentence=True)]
+    rows = {
+        "still": {"scene_dynamics": "Leaves fall. The boats are motionless."}, "walk": {"perspective_type": "third_person", "scene_description": "A man walks on."}, "other": {"perspective_type": "third_person", "scene_description": "A man and another walks on."},
+        "walks_of": {"perspective_type": "third_person", "scene_description": "A man by walks of stone."}, "first": {"perspective_type": "first_person", "scene_description": "A man walks."}, "later": {"perspective_type": "third_person", "scene_description": "A wall. A man walks."}, "none": {},
+    }
+    d = spark.createDataFrame([(k, json.dumps(v)) for k, v in rows.items()] + [("null", None), ("junk", "{")], "k string, raw string")
+    got = {r.k: r.e for r in d.select("k", sentence_errors(F.col("raw"), rules).alias("e")).collect()}
+    assert got == {"still": ["static_absence"], "walk": ["walks"], "other": [], "walks_of": [], "first": [], "later": [], "none": [], "null": [], "junk": []}
