@@ -134,7 +134,7 @@ def sketched(docs: DataFrame, threshold: float) -> DataFrame:
     """(id, text hash, key, sig, leaves) of each document; key is null without a word."""
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 2 << 20):
+        for batch, data, offs in slices(batches, "text", 1 << 20):
             keys, sigs, leaves, seen = [], [], [], set()
             for x in shingle_sets(data, offs):
                 key = set_key(x) if len(x) else None
@@ -219,15 +219,20 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
             side = g.column(3).to_numpy()
             sig = np.frombuffer(b"".join(g.column(5).to_pylist()), np.uint16).reshape(g.num_rows, SIGNATURE)
             i, j = g.column(1)[0].as_py(), g.column(2)[0].as_py()
-            left, right = (np.arange(g.num_rows),) * 2 if i == j else (np.flatnonzero(side == i), np.flatnonzero(side == j))
-            pa_, pb_ = [], []
-            for lo in range(0, len(left), 64):
-                p, q = np.nonzero((sig[left[lo : lo + 64], None, :] == sig[None, right, :]).mean(2) >= margin)
-                pa_.append(left[lo + p])
-                pb_.append(right[q])
-            p, q = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (pa_, pb_))
-            label = stars(g.num_rows, p[p != q], q[p != q])
-            for k in np.flatnonzero(label != np.arange(g.num_rows)):
+            n = g.num_rows
+            p, q = [], []
+            for lo in range(0, n, 64):
+                u, v = np.nonzero((sig[lo : lo + 64, None, :] == sig[None, :, :]).mean(2) >= margin)
+                p.append(lo + u)
+                q.append(v)
+            p, q = np.concatenate(p), np.concatenate(q)
+            if i == j:
+                label, ends = stars(n, p[p != q], q[p != q]), np.arange(n)
+            else:  # each block's own links come from where it is compared with itself; here one edge joins two of their stars
+                same = side[p] == side[q]
+                inner = stars(n, p[same], q[same])
+                label, ends = stars(n, inner[p[~same]], inner[q[~same]]), np.unique(inner)
+            for k in ends[label[ends] != ends]:
                 a.append(g.column(4)[int(k)])
                 b.append(g.column(4)[int(label[k])])
             if len(a) > 20_000:
@@ -270,7 +275,7 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
     tenths = round(threshold * 1000)
 
     def tokens(batches):
-        for batch, data, offs in slices(batches, "text", 2 << 20):
+        for batch, data, offs in slices(batches, "text", 1 << 20):
             sets = shingle_sets(data, offs)
             keep = pa.array([set_key(x) == k for x, k in zip(sets, batch.column(2).to_pylist(), strict=True)])
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in sets], pa.binary())], names=["label", "size", "key", "tokens"]).filter(keep)
