@@ -18,7 +18,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     last = None
     for _ in range(max_rounds):
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written out, so that both sides of the join are plain shuffles, of which Spark can split a hub's partition
+        least = durable(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         # neighbours of a, and a itself, to the least of a's surroundings
         step = both.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         e = durable(step.where("a <> b").distinct())
