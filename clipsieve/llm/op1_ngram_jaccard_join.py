@@ -208,7 +208,7 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
             kid = level.where(F.col("size") > SMALL).select("key", F.explode("kids").alias("x"))
             level = kid.select("key", F.col("x.b").alias("bucket"), F.col("x.kids").alias("kids")) if depth == 1 else kid.select("key", F.col("x").alias("bucket"), F.lit(None).cast("array<long>").alias("kids"))
     rows = met[0].unionByName(met[1]).unionByName(met[2]).distinct()
-    rows = pair_blocks(rows, F.col("bucket"), F.col("size"), 256).select("bucket", "i", "j", "side", "key")
+    rows = pair_blocks(rows, F.col("bucket"), F.col("size"), BLOCK).select("bucket", "i", "j", "side", "key")
     rows = rows.join(reps.select("key", "sig"), "key").select("bucket", "i", "j", "side", "key", "sig")
 
     def run(batches):
