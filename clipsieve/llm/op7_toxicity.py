@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import slices, table
 
 ORDER, HIGH, DISCOUNT = 7, 4.0, 0.75
-MAX_ROWS, MAX_BYTES = 4000, 12 << 20
+MAX_ROWS, MAX_BYTES = 2000, 6 << 20
 PAD = ORDER - 1
 
 
@@ -68,9 +68,10 @@ def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def grams(s: np.ndarray, order: int) -> np.ndarray:
     """At each place, the key of the n-gram that ends there."""
-    key = s.astype(np.int64)
+    wide = np.int64 if order > 5 else np.int32
+    key = s.astype(wide)
     for k in range(1, order):
-        key[k:] |= s[:-k].astype(np.int64) << (6 * k)
+        key[k:] |= s[:-k].astype(wide) << wide(6 * k)
     return key
 
 
@@ -86,15 +87,19 @@ def shared_counts(docs: DataFrame, text_col: str) -> pd.DataFrame:
     """(key, n) of all 4-grams of all documents; summed in each task before the shuffle."""
 
     def run(batches):
-        total = np.zeros(64**4, np.int64)
-        for _, data, offs in slices(batches, "text", 8 << 20):
+        total = np.zeros((16, 64**4 // 16), np.uint32)  # a task reads a few input blocks
+        for _, data, offs in slices(batches, "text", 2 << 20):
             s, at, end = symbols(data, offs)
             if len(s):
-                total += np.bincount(grams(s, 4)[inside(s, at, end)], minlength=64**4)
+                key = grams(s, 4)[inside(s, at, end)]
+                high = key >> 20
+                for part in np.unique(high):  # counts of a part at a time need little room
+                    total[part] += np.bincount(key[high == part] & (2**20 - 1), minlength=2**20).astype(np.uint32)
+        total = total.ravel()
         hit = np.flatnonzero(total)
         for lo in range(0, len(hit), 200_000):
             k = hit[lo : lo + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k])], names=["key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k].astype(np.int64))], names=["key", "n"])
 
     got = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     return pd.DataFrame({"key": got["key"].to_numpy().astype(np.int64), "n": got["n"].to_numpy().astype(np.int64)})
@@ -122,7 +127,7 @@ def class_counts(rows: DataFrame) -> pd.DataFrame:
     """(key, t, o): the ORDER-grams of rows (text, toxic), by class."""
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text"):
+        for batch, data, offs in slices(batches, "text", 1 << 20):
             s, at, end = symbols(data, offs)
             if not len(s):
                 continue
@@ -251,12 +256,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
     def run(batches):
         scorer = Scorer(model.value)
-        for batch, data, offs in slices(batches, "text"):
+        for batch, data, offs in slices(batches, "text", 1 << 20):
             x = scorer.features(data, offs)
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x[:, k]) for k in range(4))], names=["y", *"abcd"])
 
     unseen = rows.where("part = 0").select("text", "toxic").mapInArrow(run, "y int, a double, b double, c double, d double").toPandas()
     rows.unpersist()
+    model.unpersist()
     if unseen["y"].nunique() < 2:
         return tables, (np.zeros(4), np.ones(4), np.array([0.0, 1.0, 0.0, 0.0, -HIGH]))
     unseen = unseen.sort_values(["y", *"abcd"])
@@ -275,7 +281,7 @@ def score(docs: DataFrame, model, text_col: str = "text", out: str = "score") ->
     def run(batches):
         tables, fitted = shipped.value
         scorer = Scorer(tables)
-        for batch, data, offs in slices(batches, "__text"):
+        for batch, data, offs in slices(batches, "__text", 1 << 20):
             got = curve(scorer.features(data, offs), fitted)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(got)], names=[*names, out])
 
