@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import column_bytes, durable, forget, slices, spread, table
 from .induced_sort import Shard
 
-WINDOW, K, HOT = 100, 24, 20_000
+WINDOW, K, HOT = 100, 24, 8_000
 SPAN = WINDOW - K + 1  # places an anchor can have in a window
 HALF = SPAN // 2
 U = np.uint64
@@ -90,7 +90,7 @@ def context_table(docs: DataFrame) -> DataFrame:
     """Contexts (h, c, id, th, at, near) with at = start << 16 | length << 8 | anchor offset."""
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 4 << 20):
+        for batch, data, offs in slices(batches, "text", 1 << 20):
             doc, start, length, off, h, c, near = anchors(data, offs)
             which = pa.array(doc)
             at = (start << 16) | (length << 8) | off
@@ -127,7 +127,7 @@ def repeats_in(shard: list[tuple]) -> list[tuple[int, int, int]]:
     return list(zip(w.tolist(), (later[new] - s.start[w]).tolist(), (later[last] - s.start[w] + WINDOW).tolist(), strict=True))
 
 
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 
 
 def shard_marks(contexts: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def removed_stretches(docs: DataFrame) -> DataFrame:
     gone = kinds.inputFiles()
     del kinds, halves, shared
     forget(spark, gone)
-    met = met.join(met.groupBy("h").agg(F.count("*").alias("m")), "h").select("h", "m", "o.id", "o.th", "o.at")
+    met = met.join(durable(met.groupBy("h").agg(F.count("*").alias("m"))), "h").select("h", "m", "o.id", "o.th", "o.at")
     wanted = met.groupBy("id", "th").agg(F.collect_list(F.struct("h", "m", "at")).alias("want"))
     sources = docs.join(wanted.withColumnsRenamed({"id": "wid", "th": "wth"}), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).dropDuplicates(["id", "th"]).select("id", "th", "text", "want")
 
@@ -241,7 +241,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     both = d.join(cuts, d.id.eqNullSafe(F.col("cid")) & (d.th == F.col("cth")), "left").select("id", "text", "cuts")
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 8 << 20):
+        for batch, data, offs in slices(batches, "text", 4 << 20):
             removed, spans, kept = [], [], []
             for i, cuts in enumerate(batch.column(2).to_pylist()):
                 text = data[offs[i] : offs[i + 1]].tobytes()
@@ -263,7 +263,7 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     both = ids.join(cuts, ids.id.eqNullSafe(F.col("cid")) & (ids.th == F.col("cth")), "left").select("text", "cuts", "__row")
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 8 << 20):
+        for batch, data, offs in slices(batches, "text", 4 << 20):
             kept = []
             for i, cuts in enumerate(batch.column(1).to_pylist()):
                 text = data[offs[i] : offs[i + 1]].tobytes()
