@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import io
+import itertools
 import tarfile
 
 import pandas as pd
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Files of a clip, in the order in which a shard holds them.
 MEMBERS = ("meta.json", "video.mp4", "poses.npy", "intrinsics.npy", "prompt.txt")
+#: Bytes that stand for a null size: with them a shard never fills.
+NEVER = -(1 << 61)
 
 
 def partition_of(tier: Column, judged: Column) -> Column:
@@ -23,25 +27,78 @@ def partition_of(tier: Column, judged: Column) -> Column:
     )
 
 
+def lane_table(sizes: list, limit: int) -> list[tuple[int, int, int]]:
+    """(reach, shards, used) of the rows of a lane that can begin its first new shard: the lane's bytes up to the row, with it, and
+    the shards from there to the lane's end with the bytes of the last. The row for ``used`` bytes carried in is the first whose reach passes ``limit - used``."""
+    at = [0, *itertools.accumulate(sizes)]
+    n = len(sizes)
+    shards, used = [1] * n, [0] * n
+    high, rows = [], []  # rows whose reach passes all between, last first, so that the negated reaches ascend
+    for i in range(n - 1, -1, -1):
+        k = bisect.bisect_left(high, -(at[i] + limit)) - 1
+        if k < 0:
+            used[i] = at[n] - at[i]
+        else:
+            shards[i], used[i] = shards[rows[k]] + 1, used[rows[k]]
+        while high and high[-1] >= -at[i + 1]:
+            high.pop()
+            rows.pop()
+        high.append(-at[i + 1])
+        rows.append(i)
+    out = []
+    for h, i in zip(reversed(high), reversed(rows), strict=True):
+        out.append((-h, shards[i], used[i]))
+        if -h > limit:  # no lower bytes carried in go further
+            break
+    return out
+
+
 def plan_shards(df: DataFrame, limit: int, partition: str, order: str, size: str, lane_rows: int = 100_000) -> DataFrame:
     """``df`` with shard, the greedy plan: a new shard when the next clip would pass ``limit``; an oversize clip is alone.
 
-    The fold runs over sorted arrays of (order, size) of lanes of ``lane_rows`` rows of a partition, so that no
-    partition is gathered; every lane begins a shard. A partition of at most ``lane_rows`` rows has the plain greedy plan."""
-    w = Window.partitionBy(partition).orderBy(order)
-    d = df.withColumn("__lane", F.floor((F.row_number().over(w) - 1) / lane_rows))
-    arr = d.groupBy(partition, "__lane").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("a"))
-    start = F.struct(F.lit(-1).alias("shard"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc, x):
-        new = (acc["shard"] < 0) | (acc["used"] + x["s"] > limit)
-        shard = F.when(new, acc["shard"] + 1).otherwise(acc["shard"])
-        return F.struct(shard.alias("shard"), F.when(new, x["s"]).otherwise(acc["used"] + x["s"]).alias("used"), F.concat(acc["out"], F.array(shard)).alias("out"))
-
-    plan = arr.select(partition, "__lane", F.aggregate("a", start, step, lambda acc: acc["out"]).alias("shards"), "a")
-    plan = plan.select(F.col(partition).alias("__p"), "__lane", F.explode(F.arrays_zip(F.col("a.o").alias("o"), F.col("shards").alias("shard"))).alias("x"))
-    plan = plan.select("__p", F.col("__lane").alias("__l"), F.col("x.o").alias("__o"), F.col("x.shard").alias("shard"))
-    return d.join(plan, F.col(partition).eqNullSafe(F.col("__p")) & (F.col("__lane") == F.col("__l")) & (F.col(order) == F.col("__o"))).withColumnRenamed("__lane", "lane").drop("__p", "__l", "__o")
+    The fold runs over lanes of ``lane_rows`` rows of a partition, so that no partition is gathered. Each lane first gives a table
+    of where its plan ends for any bytes carried in (``lane_table``); the tables are chained over the few lanes, and each lane is then
+    planned from its true start. So shard is one running number a partition, whatever ``lane_rows`` is. Sizes are at least 0; a
+    null size leaves the shard open for good. Equal ``order`` is broken by size."""
+    kind = df.schema[partition].dataType.simpleString()
+    d = df.withColumn("__at", F.row_number().over(Window.partitionBy(partition).orderBy(order, size))).withColumn("lane", F.floor((F.col("__at") - 1) / lane_rows))
+    rows = d.select(F.col(partition).alias("p"), "lane", "__at", F.coalesce(F.col(size).cast("long"), F.lit(NEVER)).alias("s"))
+
+    def tabled(pdf: pd.DataFrame) -> pd.DataFrame:
+        s = pdf.sort_values("__at")["s"].tolist()
+        t = pd.DataFrame(lane_table(s, limit), columns=["reach", "shards", "used"])
+        t["used"] = t["used"].clip(lower=NEVER)
+        return t.assign(p=pdf["p"].iloc[0], lane=pdf["lane"].iloc[0], total=max(sum(s), NEVER))[["p", "lane", "reach", "shards", "used", "total"]]
+
+    def chained(pdf: pd.DataFrame) -> pd.DataFrame:
+        shard, used, out = -1, None, []
+        for lane, t in pdf.sort_values(["lane", "reach"]).groupby("lane", sort=True):
+            out.append((pdf["p"].iloc[0], lane, shard, used))
+            reach = t["reach"].tolist()
+            k = 0 if used is None else bisect.bisect_right(reach, limit - used)
+            if k < len(reach):
+                shard, used = shard + int(t["shards"].iloc[k]), int(t["used"].iloc[k])
+            else:
+                used = max(used + int(t["total"].iloc[0]), NEVER)
+        return pd.DataFrame(out, columns=["p", "lane", "shard", "used"]).astype({"used": "Int64"})
+
+    def planned(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__at")
+        shard, used, out = int(pdf["shard"].iloc[0]), int(pdf["used"].iloc[0]), []
+        for s in pdf["s"].tolist():
+            if shard < 0 or used + s > limit:
+                shard, used = shard + 1, s
+            else:
+                used += s
+            out.append(shard)
+        return pdf[["p", "__at"]].assign(shard=out)
+
+    tables = rows.groupBy("p", "lane").applyInPandas(tabled, f"p {kind}, lane long, reach long, shards long, used long, total long")
+    starts = tables.groupBy("p").applyInPandas(chained, f"p {kind}, lane long, shard int, used long")
+    starts = starts.select(F.col("p").alias("__sp"), F.col("lane").alias("__sl"), "shard", F.coalesce("used", F.lit(0)).alias("used"))
+    begun = rows.join(starts, F.col("p").eqNullSafe(F.col("__sp")) & (F.col("lane") == F.col("__sl"))).select("p", "lane", "__at", "s", "shard", "used")
+    plan = begun.groupBy("p", "lane").applyInPandas(planned, f"p {kind}, __at int, shard int").select(F.col("p").alias("__p"), F.col("__at").alias("__a"), "shard")
+    return d.join(plan, F.col(partition).eqNullSafe(F.col("__p")) & (F.col("__at") == F.col("__a"))).drop("__at", "__p", "__a")
 
 
 def archive_groups(df: DataFrame, n: int = 200, partition: str = "source", order: str = "clip_id") -> DataFrame:

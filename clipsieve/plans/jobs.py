@@ -62,4 +62,5 @@ def pack(clips: DataFrame, limit: int = 2 << 30) -> DataFrame:
     """Clips with wds_key, wds_partition and wds_shard; colliding keys and unjudged clips raise."""
     d = clips.withColumn("wds_key", shard_key(F.col("clip_id"))).withColumn("wds_partition", packing.partition_of(F.col("kept_tier"), F.col("judged")))
     dedup.check_injective(d, "clip_id", "wds_key")
-    return packing.plan_shards(d, limit, "wds_partition", "clip_id", "bytes").withColumn("wds_shard", F.format_string("%s/%03d-%05d.tar", "wds_partition", "lane", "shard")).drop("lane", "shard")
+    d.agg(F.count("wds_partition")).first()  # raises here, once, rather than in several stages of the plan
+    return packing.plan_shards(d, limit, "wds_partition", "clip_id", "bytes").withColumn("wds_shard", F.format_string("%s/%05d.tar", "wds_partition", "shard")).drop("lane", "shard")

@@ -1,6 +1,7 @@
 import io
 import json
 import math
+import random
 import tarfile
 
 import numpy as np
@@ -210,6 +211,21 @@ def test_validate(spark):
     assert r.scale == pytest.approx(3.0) and (r.windows, r.inliers) == (5, 3)
 
 
+def test_plan_shards_runs_on_over_lanes(spark):
+    rng = random.Random(3)
+    rows = [(p, i, rng.choice([0, 1, 3, 4, 9, 25])) for p, n in (("a", 90), ("b", 7), (None, 31)) for i in range(n)]
+    want, state = {}, {}
+    for p, i, s in rows:  # the registered SQL's one greedy plan a partition
+        used, shard = state.get(p, (None, -1))
+        used, shard = (s, shard + 1) if used is None or used + s > 20 else (used + s, shard)
+        state[p] = used, shard
+        want[p, i] = shard
+    d = spark.createDataFrame(rows, "p string, i int, s int")
+    for lane_rows in (1, 4, 100):
+        got = packing.plan_shards(d, 20, "p", "i", "s", lane_rows=lane_rows).collect()
+        assert len(got) == len(rows) and {(r.p, r.i): r.shard for r in got} == want, lane_rows
+
+
 def test_jobs(spark):
     from clipsieve.plans import jobs
 
