@@ -212,6 +212,22 @@ def test_op4_frames_keep_lags_below_one(weights):
         assert all(abs(seen[x] - t * k / 400) < 1 for x, k in counts.items())
 
 
+def test_op4_lags_against_target_weights(spark):
+    assert op4.frame_counts({"a": 90, "b": 9, "c": 1}, 1000) == {"a": 900, "b": 90, "c": 10}
+    sizes = {"hot": 1500, None: 300, "b": 161, "c": 37}
+    d = frame(spark, [(i, "t", s) for s, n in sizes.items() for i in range(n)])
+    for weights, frames in ((None, 10), ({"hot": 90, None: 8, "b": 1.75, "c": 0.25}, 10), ({"hot": 5, None: 3, "b": 1, "c": 1}, 10)):
+        rows = op4.mix(d, weights, block_rows=1, frame=frames).collect()
+        at = {r.slot: r.source for r in rows}
+        assert len(at) == len(rows) == sum(sizes.values()) and Counter(r.source for r in rows) == sizes
+        w = weights or {s: round(n**0.5 * 1000) for s, n in sizes.items()}
+        total, seen = sum(w.values()), Counter()
+        for t in range(max(at) + 1):
+            seen[at.get(t)] += t in at
+            for s in sizes:  # up to where the source runs out
+                assert seen[s] == sizes[s] or abs(seen[s] - (t + 1) * w[s] / total) < 1 + 1e-9, (t, s)
+
+
 def removed(rows):
     """Brute force over distinct (id, text): kept bytes of each."""
     docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, np.int64(0)))
