@@ -126,8 +126,9 @@ LEAF_TYPE = pa.list_(pa.struct([("b", pa.int64()), ("kids", pa.list_(pa.struct([
 
 
 def lowered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text in lower case, the text's hash)"""
-    return docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text")).withColumn("th", F.xxhash64("text"))
+    """(id, text in lower case, hash of the text as it stands)"""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), F.lower(text).alias("text"), F.xxhash64(text).alias("th"))
 
 
 def sketched(docs: DataFrame, threshold: float) -> DataFrame:
@@ -303,6 +304,11 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """(id, class_id, n_links) of every row."""
+    return classed(docs, id_col, text_col, threshold).drop("th")
+
+
+def classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """(id, text hash, class_id, n_links) of every row."""
     low = lowered(docs, id_col, text_col)
     sets = durable(sketched(low, threshold))
     reps = durable(sets.where("leaves IS NOT NULL").select("key", "sig", "leaves").dropDuplicates(["key"]))
@@ -315,17 +321,17 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = durable(exact_links(texts, threshold))
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("key").alias("a"), F.col("hub").alias("b"))).withColumnRenamed("node", "key")
-    marked = sets.select("id", "key").join(links, "key", "left").join(classes, "key", "left")
-    marked = marked.select("id", "key", F.coalesce("label", "key").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
+    marked = sets.select("id", "th", "key").join(links, "key", "left").join(classes, "key", "left")
+    marked = marked.select("id", "th", "key", F.coalesce("label", "key").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
     least = marked.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("class_id"))
     out = marked.join(least, "label", "left")
-    return out.select(F.col("id").alias(id_col), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.col("links").alias("n_links"))
+    return out.select(F.col("id").alias(id_col), "th", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.col("links").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their class; rows with a null id stay."""
-    classes = jaccard_classes(docs, id_col, text_col, threshold).where(F.col("class_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(classes, id_col, "left_anti")
+    """The rows of ``docs`` whose id is the least of their text's class; rows with a null id stay."""
+    gone = classed(docs, id_col, text_col, threshold).where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__gone"), F.col("th").alias("__th")).distinct()
+    return docs.join(gone, (F.col(id_col) == F.col("__gone")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__th")), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ document is. Documents probe every partition with all their shingles, and what a
 is verified by the exact count of the item's shingles in the document.
 
 Words are runs of letters and digits in lower case. Null and empty texts, and items of fewer than
-``n`` words, contain and are contained in nothing. Rows with a null id are judged on their own
-text under the null id; repeated rows give one answer each pair. Further columns are not read.
+``n`` words, contain and are contained in nothing. A document is an id with a text (by its hash): rows with a
+null id, and rows of one id with different texts, are each judged on their own text; repeated rows give one answer
+each pair. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -32,8 +33,12 @@ def shingles(text: Column, n: int) -> Column:
     return F.flatten(F.transform(F.array(words), runs))
 
 
-def contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(id, item id, n_hit, n_shingles, containment) of every pair at or above ``threshold``."""
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def found(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(id, text hash, item id, n_hit, n_shingles, containment) of every pair at or above ``threshold``."""
     miss = F.floor(F.round(F.lit(1 - threshold) * F.col("n_shingles"), 9))
     it = (
         items.select(F.col(item_col).alias("item"), F.array_distinct(shingles(F.col(item_text_col), n)).alias("all"))
@@ -45,23 +50,28 @@ def contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text
     )
     if it.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES:
         it = F.broadcast(it)
-    probe = docs.select(F.col(id_col).alias("id"), F.explode(shingles(F.col(text_col), n)).alias("shingle"))
+    probe = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.explode(shingles(F.col(text_col), n)).alias("shingle"))
     return (
         probe.join(it, "shingle")
-        .groupBy("id", "item", "n_shingles", "shingle")
+        .groupBy("id", "th", "item", "n_shingles", "shingle")
         .agg(F.max("sketch").alias("sketch"))
-        .groupBy("id", "item", "n_shingles")
+        .groupBy("id", "th", "item", "n_shingles")
         .agg(F.count("*").alias("n_hit"), F.max("sketch").alias("found"))
         .where(F.col("found") & (F.col("n_hit") >= F.col("n_shingles") - miss))
-        .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_hit", F.col("n_shingles").cast("long").alias("n_shingles"), (F.col("n_hit") / F.col("n_shingles")).alias("containment"))
+        .select(F.col("id").alias(id_col), F.col("th").alias("__th"), F.col("item").alias(item_col), "n_hit", F.col("n_shingles").cast("long").alias("n_shingles"), (F.col("n_hit") / F.col("n_shingles")).alias("containment"))
     )
 
 
+def contained(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
+    """(id, item id, n_hit, n_shingles, containment) of every pair of a document and an item at or above the threshold."""
+    return found(docs, items, **how).drop("__th")
+
+
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` in which no item is contained, null ids by their own group."""
-    id_col = how.get("id_col", "doc_id")
-    bad = contained(docs, items, **how).select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
+    """The rows of ``docs`` in whose text no item is contained; other rows of the same id, or of a null id, stay."""
+    id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
+    bad = found(docs, items, **how).select(F.col(id_col).alias("__bad"), "__th").distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")) & (text_hash(text_col) == F.col("__th")), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

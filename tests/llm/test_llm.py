@@ -375,6 +375,19 @@ def test_op9(spark, monkeypatch):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_op9_and_op1_judge_rows_of_one_id_by_their_own_text(spark):
+    rng = random.Random(12)
+    item, texts = sentences(rng, 30), [sentences(rng, 60) for _ in range(4)]
+    w = item.split()
+    rows = [(None, texts[0]), (None, f"{texts[1]} {item}"), (7, texts[2]), (7, f"{texts[3]} {item}"), (7, texts[2]), (8, " ".join(w[:20])), (8, " ".join(w[12:])), (None, " ".join(w[:20])), (None, " ".join(w[12:]))]
+    d, it = frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = lambda x: Counter((r.doc_id, r.text) for r in x.collect())
+    assert kept(op9.clean(d, it)) == Counter(r for r in rows if item not in r[1])
+    assert Counter((r.doc_id, r.n_hit) for r in op9.contained(d, it).collect()) == {(None, 26): 1, (7, 26): 1}
+    rows = [(1, texts[0]), (7, texts[0].upper()), (7, texts[1]), (7, texts[1]), (None, texts[0])]
+    assert kept(op1.one_of_each(frame(spark, rows))) == Counter(r for r in rows if r != rows[1])
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body><header><p>Site</p></header>
 <nav><ul><li><a href="/">Home</a><li>About</ul></nav><div class="cookie-note cookie">We use cookies</div><main><header><h1>Head &amp; tail</h1></header><p>One  <b>two<br>three<p>Four &lt;x&gt; &eacute;
 <ul><li>a<li>b</ul><div class="advert">Buy</div><form><p>Mail</p></form><section id="comments"><p>Nice!</p></section></main><aside>More</aside><footer>&copy; me</footer></body></html>"""
