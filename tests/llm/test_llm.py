@@ -412,6 +412,22 @@ def test_op10(spark):
     assert op10.main_text(d.limit(0)).count() == 0
 
 
+def test_op10_copies_of_a_page_keep_their_text(spark):
+    rng = random.Random(5)
+    article = lambda t: f"<div id='page'><article><div class='body'><p>{t}</p><section id='text'>{t}</section></div></article></div>"
+    bare = lambda t: f"<html><body><div class='top'>Same line</div><div class='story'>{t}</div></body></html>"
+    t = [sentences(rng, 12) for _ in range(30)]
+    rows = [("a", article(t[0]), f"{t[0]}\n{t[0]}")] * 10 + [("b", bare(t[0]), f"Same line\n{t[0]}")] * 10
+    rows += [("c", bare(t[0]), t[0])] * 200 + [("c", bare(x), x) for x in t[1:]]
+    rows += [("d", article(t[0]) + f"<div>{x}</div>", f"{t[0]}\n{t[0]}") for x in t]  # one article, other ends
+    d = spark.createDataFrame([(k, f"http://{h}.com/{k}", x) for k, (h, x, _) in enumerate(rows)], "page_id long, url string, html string")
+    for bound in (op10.BROADCAST_NODES, 0):
+        op10.BROADCAST_NODES, was = bound, op10.BROADCAST_NODES
+        got = {r.page_id: r.text for r in op10.main_text(d).collect()}
+        op10.BROADCAST_NODES = was
+        assert got == {k: w for k, (_, _, w) in enumerate(rows)}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
