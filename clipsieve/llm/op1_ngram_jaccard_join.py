@@ -12,8 +12,8 @@ Candidate components are then resolved exactly: the sets of each are compared al
 blocks of ``BLOCK``, every pair once, on their full shingles. So all links inside a component are found whichever
 run joined it, links are counted and not written as pairs, and the classes are the components of exact links.
 
-Result: one row per document with the class id (least id of its class) and the number of other texts (sets) it
-is linked to. Null and empty texts, and texts without a word, are linked to nothing and are a class each. Rows with a null id take part;
+Result: one row per document with the class id (least id of its class) and the number of other texts it
+is linked to: texts that differ in any byte are different, also where their sets are equal (a set has the weight of its texts). Null and empty texts, and texts without a word, are linked to nothing and are a class each. Rows with a null id take part;
 a class of such rows alone has a null id. Repeated rows each give their row. Other columns are not read.
 """
 
@@ -272,17 +272,18 @@ def agree(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, tenths: i
 
 
 def exact_links(members: DataFrame, threshold: float) -> DataFrame:
-    """(key, hub, links) for each set and pair of blocks it was compared in; members has label, size, key, text."""
+    """(key, hub, links) for each set and pair of blocks it was compared in, links the weights of the sets it is linked to;
+    members has label, size, key, weight, text."""
     tenths = round(threshold * 1000)
 
     def tokens(batches):
         for batch, data, offs in slices(batches, "text", 1 << 20):
             sets = shingle_sets(data, offs)
             keep = pa.array([set_key(x) == k for x, k in zip(sets, batch.column(2).to_pylist(), strict=True)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in sets], pa.binary())], names=["label", "size", "key", "tokens"]).filter(keep)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x.tobytes() for x in sets], pa.binary())], names=["label", "size", "key", "weight", "tokens"]).filter(keep)
 
-    sets = members.select("label", "size", "key", "text").mapInArrow(tokens, "label binary, size long, key binary, tokens binary")
-    rows = pair_blocks(sets, F.col("label"), F.col("size"), BLOCK).select("label", "i", "j", "side", "key", "tokens")
+    sets = members.select("label", "size", "key", "weight", "text").mapInArrow(tokens, "label binary, size long, key binary, weight long, tokens binary")
+    rows = pair_blocks(sets, F.col("label"), F.col("size"), BLOCK).select("label", "i", "j", "side", "key", "tokens", "weight")
 
     def run(batches):
         for g in grouped(batches, 3):
@@ -295,7 +296,8 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
             i, j = g.column(1)[0].as_py(), g.column(2)[0].as_py()
             left, right = (np.arange(len(sets)),) * 2 if i == j else (np.flatnonzero(side == i), np.flatnonzero(side == j))
             p, q = agree(sets, left, right, tenths) if len(left) and len(right) else (np.zeros(0, np.int64),) * 2
-            links = np.bincount(p, minlength=len(sets)) + (np.bincount(q, minlength=len(sets)) if i != j else 0)
+            weight = g.column(6).to_numpy()
+            links = np.bincount(p, weight[q], len(sets)) + (np.bincount(q, weight[p], len(sets)) if i != j else 0)
             yield pa.RecordBatch.from_arrays([g.column(4), pa.array([keys[k] for k in stars(len(sets), p, q)], pa.binary()), pa.array(links.astype(np.int64))], names=["key", "hub", "links"])
 
     n = spread(members.sparkSession)
@@ -316,11 +318,14 @@ def classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
     near = durable(near.join(near.groupBy("label").agg(F.count("*").alias("size")), "label"))
     # one document for each set of a component stands for it
     name = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    stands = sets.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct(name.alias("name"), "th")).alias("s")).join(near.withColumnRenamed("node", "key"), "key")
-    texts = low.withColumn("name", name).drop("id").join(stands.select("key", "label", "size", "s.name", "s.th"), ["name", "th"])
+    texts_of = sets.where("key IS NOT NULL").groupBy("key", "th").agg(F.min(name).alias("name"))
+    heads = durable(texts_of.groupBy("key").agg(F.min(F.struct("name", "th")).alias("s"), F.count("*").alias("weight")))
+    stands = heads.join(near.withColumnRenamed("node", "key"), "key")
+    texts = low.withColumn("name", name).drop("id").join(stands.select("key", "label", "size", "weight", "s.name", "s.th"), ["name", "th"])
     found = durable(exact_links(texts, threshold))
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("key").alias("a"), F.col("hub").alias("b"))).withColumnRenamed("node", "key")
+    links = heads.join(links, "key", "left").select("key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")).where("links > 0")
     marked = sets.select("id", "th", "key").join(links, "key", "left").join(classes, "key", "left")
     marked = marked.select("id", "th", "key", F.coalesce("label", "key").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
     least = marked.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("class_id"))

@@ -104,6 +104,25 @@ def test_op1(spark, corpus, monkeypatch):
     assert left == {i for i, c, _ in classes(corpus) if c == i or c is None or i is None}
 
 
+def test_op1_counts_links_between_texts(spark, monkeypatch):
+    rng = random.Random(21)
+    rows = [(i, sentences(rng, 60)) for i in range(8)]
+    for k in range(5):
+        w = rows[k][1].split()
+        w[rng.randrange(len(w))] = "changed"  # a near copy, and other writings of it and of the text
+        more = [" ".join(w), " ".join(w).upper(), rows[k][1].replace(" ", ",  "), rows[k][1].title(), rows[k][1] + "\n"][: k + 1]
+        rows += [(100 + 10 * k + n, t) for n, t in enumerate(more)]
+    rows += [(200, rows[0][1]), (201, rows[8][1]), (202, "one two"), (203, "One, two"), (204, " "), (205, "")]
+    texts = sorted({t for _, t in rows})
+    sets = {t: shingles(t) for t in texts}
+    want = Counter({t: sum(u != t and bool(sets[t]) and bool(sets[u]) and len(sets[t] & sets[u]) >= 0.8 * len(sets[t] | sets[u]) - 1e-9 for u in texts) for t in texts})
+    assert max(want.values()) > 3
+    for block in (op1.BLOCK, 2):
+        monkeypatch.setattr(op1, "BLOCK", block)
+        got = op1.jaccard_classes(frame(spark, rows)).collect()
+        assert {(r.doc_id, r.n_links) for r in got} == {(i, want[t]) for i, t in rows}
+
+
 def test_components(spark):
     e = [(1, 2), (2, 3), (9, 8), (3, 1), (5, 5), (None, 4), (7, 3), (10, 9)]
     got = {r.node: r.label for r in components(spark.createDataFrame(e, "a int, b int")).collect()}
