@@ -7,7 +7,7 @@ the bag, and the text's score is sigmoid(c'(sum a h) + b). Only documents carry
 is learned from them. Training is full-batch Adam from a fixed seed, in NumPy.
 
 Bound, for the classifier alone: ``MAX_ROWS`` labelled rows a class, those of lowest hash, and of
-these as many as hold ``MAX_BYTES``; every row is scored over its whole text. Labels, language,
+these as many as hold ``MAX_BYTES``, very long texts last (see ``op7_toxicity.sample``); every row is scored over its whole text. Labels, language,
 source and id are no inputs of a score.
 
 Null and empty texts are a bag of one all-zero passage and get a score too. Repeated rows and null

@@ -11,7 +11,8 @@ a word and the number and share of words above ``HIGH``. A logistic curve over t
 rows that the counts have not seen, gives the score.
 
 Bounds, for the classifier alone: ``MAX_ROWS`` labelled rows a class, those of lowest hash, and of
-these as many as hold ``MAX_BYTES``. The shared counts cover every document and have at most
+these as many as hold ``MAX_BYTES``; a text of over a ``SHARE``-th of those bytes comes after all others, shortest
+first, and only if it fits whole (of a class of such texts alone, the shortest is taken). The shared counts cover every document and have at most
 64**4 keys. Labels, language, source and id are no inputs of a score.
 
 Null and empty texts have no symbol and get the score of an all-zero ratio. Repeated rows and null
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import slices, table
 
 ORDER, HIGH, DISCOUNT = 7, 4.0, 0.75
-MAX_ROWS, MAX_BYTES = 2000, 6 << 20
+MAX_ROWS, MAX_BYTES, SHARE = 4000, 12 << 20, 16
 PAD = ORDER - 1
 
 
@@ -136,8 +137,9 @@ def class_counts(rows: DataFrame) -> pd.DataFrame:
             key, n = np.unique(grams(s, ORDER)[ok] << 1 | toxic, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key >> 1), pa.array(np.where(key & 1, n, 0)), pa.array(np.where(key & 1, 0, n))], names=["key", "t", "o"])
 
-    got = rows.select("text", "toxic").mapInArrow(run, "key long, t long, o long").groupBy("key").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).toArrow()
-    return pd.DataFrame({c: got[c].to_numpy().astype(np.int64) for c in ("key", "t", "o")}).sort_values("key", ignore_index=True)
+    got = rows.select("text", "toxic").mapInArrow(run, "key long, t long, o long").groupBy("key").agg(F.sum("t").cast("int").alias("t"), F.sum("o").cast("int").alias("o")).toArrow()
+    at = np.argsort(got["key"].to_numpy())
+    return pd.DataFrame({c: got[c].to_numpy()[at] for c in ("key", "t", "o")})
 
 
 def ratio_tables(counts: pd.DataFrame, shared: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -163,23 +165,32 @@ def ratio_tables(counts: pd.DataFrame, shared: np.ndarray) -> list[tuple[np.ndar
     return out[::-1]
 
 
+def find(keys: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of k in the sorted keys, and which are there."""
+    if not len(keys):
+        return np.zeros(len(k), np.int64), np.zeros(len(k), bool)
+    i = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+    return i, keys[i] == k
+
+
 class Scorer:
-    """Features of texts under the ratio tables."""
+    """Features of texts under the ratio tables, which are searched as they are: hash tables over them would take several times their room."""
 
     def __init__(self, tables):
-        self.levels = [(pd.Index(k), v, pd.Index(c), b) for k, v, c, b in tables]
+        self.levels = tables
 
     def ratios(self, key: np.ndarray) -> np.ndarray:
+        key, where = np.unique(key, return_inverse=True)
         r = np.zeros(len(key), np.float32)
         left = np.arange(len(key))
         for order, (keys, val, ctxs, back) in zip(range(ORDER, 3, -1), self.levels, strict=True):
             k = key[left] & (64**order - 1)
-            i = keys.get_indexer(k)
-            r[left] += np.where(i >= 0, val[i], 0)
-            left, k = left[i < 0], k[i < 0]
-            j = ctxs.get_indexer(k >> 6)
-            r[left] += np.where(j >= 0, back[j], 0)
-        return r
+            i, hit = find(keys, k)
+            r[left[hit]] += val[i[hit]]
+            left, k = left[~hit], k[~hit]
+            j, hit = find(ctxs, k >> 6)
+            r[left[hit]] += back[j[hit]]
+        return r[where]
 
     def features(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         n = len(offs) - 1
@@ -235,8 +246,10 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     here = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(ids), "id")
     size = here.groupBy("id", "y").agg(F.max(F.octet_length("text")).alias("n")).orderBy(F.xxhash64("id"), "id").toPandas()  # at most 2 * max_rows
+    big = size["n"] > max_bytes // SHARE
+    size = size.assign(big=big, late=size["n"].where(big, 0)).sort_values(["big", "late"], kind="stable")
     size["sum"] = size.groupby("y")["n"].cumsum()
-    size = size[(size["sum"] - size["n"] < max_bytes)]
+    size = size[(size["sum"] <= max_bytes) | ~size["big"] & (size["sum"] - size["n"] < max_bytes) | (size["sum"] == size["n"])]
     if size["y"].nunique() < 2:
         return None
     kept = spark.createDataFrame(pa.Table.from_pandas(size[["id", "y"]], preserve_index=False))
@@ -247,7 +260,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", held_mod: int = 5, held_rest: int = 0):
     """(ratio tables, logistic curve), or None if a class has no labelled row."""
-    rows = sample(docs, labels, label_col, id_col, text_col, held_mod, held_rest)
+    rows = sample(docs, labels, label_col, id_col, text_col, held_mod, held_rest, MAX_ROWS, MAX_BYTES)
     if rows is None:
         return None
     rows = rows.withColumnRenamed("y", "toxic").select("text", "toxic", "part").persist()

@@ -192,6 +192,22 @@ def test_op7_and_op3(spark):
         assert len(alone) == 1 and op.score(docs.limit(0), None).count() == 0
 
 
+def test_op7_and_op3_sample_outlives_long_texts(spark):
+    docs, labels, _ = labelled(spark)
+    bound, by = 40_000, defaultdict(list)
+    usual = op7.sample(docs, labels, "toxic", "doc_id", "text", 5, 0, 60, bound).orderBy(F.xxhash64("id")).collect()
+    for r in usual:
+        by[r.y].append(r)
+    long = {by[0][0].id, by[1][0].id, by[1][1].id}  # those that come first
+    longer = docs.withColumn("text", F.when(F.col("doc_id").isin(*long), F.repeat("text", 200)).otherwise(F.col("text")))
+    got = op7.sample(longer, labels, "toxic", "doc_id", "text", 5, 0, 60, bound).collect()
+    for y in (0, 1):
+        assert {r.id for r in got if r.y == y} >= {r.id for r in by[y]} - long and len(by[y]) > 20
+        assert sum(len(r.text.encode()) for r in got if r.y == y) < bound * (1 + 1 / op7.SHARE)
+    only = op7.sample(longer.where(F.col("doc_id").isin(*long)), labels, "toxic", "doc_id", "text", 5, 0, 60, bound).collect()
+    assert sorted(r.y for r in only) == [0, 1]
+
+
 def test_op7_shared_model_sums_to_one():
     import pandas as pd
 
