@@ -1,12 +1,10 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search, in DataFrame functions only.
+"""Benchmark decontamination: containment search by an exact inverted index, in DataFrame functions only.
 
 A test item is contained in a document if at least ``threshold`` of its distinct shingles of
-``n`` words occur there. Items fall into partitions by the size of their shingle set; all items
-of one size share the sketch length k = floor((1 - t) size) + 1 and are indexed under their
-k shingles of lowest hash. At most floor((1 - t) size) shingles of a contained item are missing,
-so at least one sketch shingle is always present: the search misses nothing, however long the
-document is. Documents probe every partition with all their shingles, and what a sketch finds
-is verified by the exact count of the item's shingles in the document.
+``n`` words occur there. The index holds all shingles of every item, documents probe it with all of theirs, and
+hits are counted exactly, so nothing is missed however long the document is. This replaces a size-partitioned
+MinHash search: there is no partition by size, and the sketch flag (the k = floor((1 - t) size) + 1 shingles of
+lowest hash) is true of every pair that passes the count.
 
 Words are runs of letters and digits in lower case. Null and empty texts, and items of fewer than
 ``n`` words, contain and are contained in nothing. A document is an id with a text (by its hash): rows with a
