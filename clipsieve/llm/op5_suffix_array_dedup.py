@@ -46,6 +46,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(77, 77 + 256, dtype=U) * U(0x9E3779B97F4A7C15))
 _G = U(0x5851F42D4C957F2D)
+_BACK = U(pow(0x5851F42D4C957F2D, -1, 2**64))
 
 
 def anchors(data: np.ndarray, offs: np.ndarray):
@@ -78,9 +79,10 @@ def anchors(data: np.ndarray, offs: np.ndarray):
     s0 = starts[new]
     e = starts[np.append(new[1:], len(starts)) - 1] + WINDOW
     p = at[new]
-    power = np.cumprod(np.full(n + 1, _G, U), dtype=U)
-    sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTE[data] * power[:n], dtype=U)])
-    stretch = lambda a, b: mix((sums[b] - sums[a]) * power[n - a] + (b - a).astype(U))
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTE[data] * np.cumprod(np.full(n, _G, U), dtype=U), dtype=U)])
+    back = np.cumprod(np.full(n, _BACK, U), dtype=U)
+    # the sum over [a, b) taken back to a power of one, so that the hash depends on the bytes alone
+    stretch = lambda a, b: mix((sums[b] - sums[a]) * back[a] + (b - a).astype(U))
     before = np.where(p - HALF >= s0, stretch(np.maximum(p - HALF, 0), p + K) >> U(32) | U(1), U(0))
     after = np.where(p + K + HALF <= e, stretch(p, np.minimum(p + K + HALF, n)) >> U(32) | U(1), U(0))
     return doc[new], s0 - offs[doc[new]], e - s0, p - s0, h[p], stretch(s0, e), before << U(32) | after
