@@ -7,14 +7,15 @@ document and earlier place) is removed; overlaps count, and strings are judged o
    equals). Equal windows have equal anchors at equal offsets. The windows of one anchor make a context, a stretch of under 180 bytes.
 2. Anchors that occur once are dropped (no window of theirs repeats). Contexts with equal bytes are
    one context with its earliest occurrence; in all others of its occurrences every window repeats.
-3. An equal window holds, beside its anchor, the 38 bytes to the left or the 38 to the right in full: contexts that share
-   neither with another of their anchor's are done. The rest of an anchor's different contexts meet in one shard. A shard's suffix array is built by induced
-   sorting and its permuted common prefixes computed; neighbours that share 100 bytes are equal windows, and
-   all but the earliest of each such class are marked in their context's first occurrence. Anchors with over ``HOT`` different contexts are
-   resolved by counts of their windows' hashes instead, exactly and without gathering them.
+3. An equal window holds, beside its anchor, the 38 bytes to the left or the 38 to the right in full: an anchor's different
+   contexts are dealt to groups by these halves, and those that share neither with another are done. A group goes to one shard, whose
+   suffix array is built by induced sorting and its permuted common prefixes computed; neighbours that share 100 bytes are equal windows, and
+   all but the earliest of each such class are marked in their context's first occurrence. A group of over ``HOT`` contexts
+   is split again in the same way, by half of what a window has left beside the shared stretch, as often as it takes; where nothing
+   is left, the stretch is the window.
 4. Marked stretches are united and cut out of their document.
 
-Contexts are compared by the 64-bit anchor hash and a 64-bit hash of the whole context (128 bits together).
+Contexts are compared by the 64-bit anchor hash and a 64-bit hash of the whole context (128 bits together); shared stretches by 128 bits.
 
 Null texts are empty; empty and short texts lose nothing. A null id sorts before all others. Rows
 with equal id and text are one document and each give the same row; rows of equal id and different text are
@@ -27,13 +28,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_bytes, durable, forget, slices, spread, table
+from .common import durable, forget, out_batch, slices, spread, table
 from .induced_sort import Shard
 
-WINDOW, K, HOT = 100, 24, 8_000
+WINDOW, K, HOT = 100, 24, 2_000
+#: Bytes of text that one step works on.
+SLICE = 1 << 20
 SPAN = WINDOW - K + 1  # places an anchor can have in a window
 HALF = SPAN // 2
 U = np.uint64
@@ -92,7 +96,7 @@ def context_table(docs: DataFrame) -> DataFrame:
     """Contexts (h, c, id, th, at, near) with at = start << 16 | length << 8 | anchor offset."""
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 1 << 20):
+        for batch, data, offs in slices(batches, "text", SLICE):
             doc, start, length, off, h, c, near = anchors(data, offs)
             which = pa.array(doc)
             at = (start << 16) | (length << 8) | off
@@ -102,22 +106,22 @@ def context_table(docs: DataFrame) -> DataFrame:
 
 
 def repeats_in(shard: list[tuple]) -> list[tuple[int, int, int]]:
-    """(context, from, to) of the windows of each context that are equal to one of an earlier context.
+    """(piece, from, to) of the windows of each piece that are equal to a window of an earlier place.
 
-    ``shard`` holds (h, order key, anchor offset, bytes); windows are equal only within one h."""
+    ``shard`` holds (document's order key, start, bytes); pieces may overlap, and a window is not earlier than itself."""
     if len(shard) < 2:
         return []
-    s = Shard([x[3] for x in shard])
+    s = Shard([x[2] for x in shard])
     sa = s.suffix_array()
     prefix = s.common_prefixes(sa)
     whose = np.repeat(np.arange(len(shard)), np.diff(np.append(s.start, s.n)))
-    order = np.zeros(len(shard), np.int64)
-    order[sorted(range(len(shard)), key=lambda i: shard[i][1])] = np.arange(len(shard))
+    place = {k: i for i, k in enumerate(sorted({x[0] for x in shard}))}
+    order = np.array([place[x[0]] << 40 | x[1] for x in shard], np.int64) - s.start
     group = np.cumsum(prefix[sa] < WINDOW) - 1
     fits = sa + WINDOW <= s.ends[whose[sa]]
     places, group = sa[fits], group[fits]
-    rank = order[whose[places]]
-    least = np.full(int(group[-1]) + 1 if len(group) else 0, len(shard), np.int64)
+    rank = order[whose[places]] + places
+    least = np.full(int(group[-1]) + 1 if len(group) else 0, np.iinfo(np.int64).max)
     np.minimum.at(least, group, rank)
     later = places[rank > least[group]]
     if not len(later):
@@ -130,49 +134,81 @@ def repeats_in(shard: list[tuple]) -> list[tuple[int, int, int]]:
 
 
 SHARD_BYTES = 1 << 20
+#: A piece of a context in a group: where it starts in its document, and where in it the shared stretch starts and stops.
+PIECE = [("g", pa.binary()), ("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("text", pa.binary())]
+PIECE_SQL = "g binary, id long, th long, start long, lo int, hi int, text binary"
 
 
-def shard_marks(contexts: DataFrame) -> DataFrame:
-    """(id, th, start, stop) of repeated stretches in first occurrences; contexts has h, id, th, at, text."""
+def pieces(rows: list[tuple]) -> pa.RecordBatch:
+    return out_batch(PIECE, *(zip(*rows, strict=True) if rows else [[]] * len(PIECE)))
+
+
+def piece(key: bytes, d: int | None, th: int, start: int, lo: int, hi: int, text: bytes) -> tuple:
+    """The windows around text[lo:hi] as a row of the group of that stretch under the anchor or group ``key``."""
+    a, b = max(0, hi - WINDOW), min(len(text), lo + WINDOW)
+    return hashlib.blake2b(text[lo:hi], digest_size=16, key=key).digest(), d, th, start + a, lo - a, hi - a, text[a:b]
+
+
+def shard_marks(groups: DataFrame) -> DataFrame:
+    """(id, th, start, stop) of repeated stretches in first occurrences; groups are rows as PIECE has them."""
 
     def run(batches):
         held: list = []
-        size = 0
+        size, last = 0, None
         for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in range(5)]
-            for h, d, th, at, text in zip(*cols, strict=True):
-                if size > SHARD_BYTES and held and held[-1][0] != h:
+            for g, d, th, start, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 3, 6)), strict=True):
+                if size > SHARD_BYTES and g != last:
                     yield marks(held)
                     held, size = [], 0
-                held.append((h, (d is not None, d or 0, th, at >> 16), at & 255, text, d, th, at >> 16))
-                size += len(text)
+                held.append(((d is not None, d or 0, th), start, text))
+                size, last = size + len(text), g
         yield marks(held)
 
     def marks(held):
-        got = [(held[i][4], held[i][5], held[i][6] + lo, held[i][6] + hi) for i, lo, hi in repeats_in(held)]
+        got = []
+        for i, lo, hi in repeats_in(held):
+            (known, d, th), start, _ = held[i]
+            got.append((d if known else None, th, start + lo, start + hi))
         cols = list(zip(*got, strict=True)) if got else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "th", "start", "stop"])
 
-    n = spread(contexts.sparkSession)
-    return contexts.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, "id long, th long, start long, stop long")
+    n = spread(groups.sparkSession)
+    return groups.repartition(n, "g").sortWithinPartitions("g").mapInArrow(run, "id long, th long, start long, stop long")
 
 
-def hot_marks(contexts: DataFrame) -> DataFrame:
-    """The same for anchors of very many contexts: each window's earliest occurrence by aggregated hashes."""
+def halved(groups: DataFrame) -> DataFrame:
+    """The groups of a finer split: each piece under its stretch with half of a window's rest before it, and after it."""
 
     def run(batches):
         for batch in batches:
-            data, offs = column_bytes(batch, "text")
-            for i in range(batch.num_rows):
-                text = data[offs[i] : offs[i + 1]].tobytes()
-                h, d, th, at = (batch.column(k)[i].as_py() for k in range(4))
-                w = [hashlib.blake2b(text[k : k + WINDOW], digest_size=16, key=h.to_bytes(8, "little", signed=True)).digest() for k in range(len(text) - WINDOW + 1)]
-                n = len(w)
-                yield pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), pa.array([d] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array([(at >> 16) + k for k in range(n)], pa.int64())], names=["w", "id", "th", "start"])
-
-    w = durable(contexts.select("h", "id", "th", "at", "text").mapInArrow(run, "w binary, id long, th long, start long"))
-    least = w.groupBy("w").agg(F.min(F.struct("id", "th", "start")).alias("o"))
-    return w.join(least, "w").where(~F.struct("id", "th", "start").eqNullSafe(F.col("o"))).select("id", "th", "start", (F.col("start") + WINDOW).alias("stop"))
+            rows = []
+            for g, d, th, start, lo, hi, text in zip(*(batch.column(k).to_pylist() for k in range(len(PIECE))), strict=True):
+                step = (WINDOW - (hi - lo) + 1) // 2
+                if lo >= step:
+                    rows.append(piece(g + b"l", d, th, start, lo - step, hi, text))
+                if hi + step <= len(text):
+                    rows.append(piece(g + b"r", d, th, start, lo, hi + step, text))
+            yield pieces(rows)
+
+    return groups.mapInArrow(run, PIECE_SQL)
+
+
+def group_marks(groups: DataFrame) -> DataFrame:
+    """(id, th, start, stop) of repeated stretches; groups are rows as PIECE has them, with m, the size of the group."""
+    marks = shard_marks(groups.where(F.col("m") <= HOT).drop("m"))
+    rest = WINDOW - K - HALF
+    while rest and not (large := groups.where(F.col("m") > HOT)).isEmpty():
+        finer = durable(halved(large.drop("m")))
+        shared = durable(finer.groupBy("g").agg(F.count("*").alias("m")).where("m > 1"))
+        groups = durable(finer.join(shared, "g"))
+        rest //= 2
+        if rest:
+            marks = marks.unionByName(shard_marks(groups.where(F.col("m") <= HOT).drop("m")))
+        else:
+            least = groups.groupBy("g").agg(F.min(F.struct("id", "th", "start")).alias("o"))
+            later = groups.join(least, "g").where(~F.struct("id", "th", "start").eqNullSafe(F.col("o")))
+            marks = marks.unionByName(later.select("id", "th", "start", (F.col("start") + WINDOW).alias("stop")))
+    return marks
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, more: list[str] = []) -> DataFrame:  # noqa: B006
@@ -203,37 +239,40 @@ def removed_stretches(docs: DataFrame) -> DataFrame:
     forget(spark, gone)
     sides = F.array(F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("near", 32).alias("v")), F.struct(F.lit(1).alias("side"), F.col("near").bitwiseAND(0xFFFFFFFF).alias("v")))
     halves = kinds.select("h", "o", F.explode(sides).alias("x")).select("h", "o", "x.side", "x.v").where("v <> 0")
-    shared = halves.groupBy("h", "side", "v").agg(F.count("*").alias("m")).where("m > 1").drop("m")
-    met = durable(halves.join(shared, ["h", "side", "v"]).select("h", "o").distinct())
+    shared = halves.groupBy("h", "side", "v").agg(F.count("*").alias("m")).where("m > 1")
+    met = durable(halves.join(shared, ["h", "side", "v"]).select("h", "side", "m", "o.id", "o.th", "o.at"))
     gone = kinds.inputFiles()
     del kinds, halves, shared
     forget(spark, gone)
-    met = met.join(durable(met.groupBy("h").agg(F.count("*").alias("m"))), "h").select("h", "m", "o.id", "o.th", "o.at")
-    wanted = met.groupBy("id", "th").agg(F.collect_list(F.struct("h", "m", "at")).alias("want"))
+    wanted = met.groupBy("id", "th").agg(F.collect_list(F.struct("h", "side", "m", "at")).alias("want"))
     sources = docs.join(wanted.withColumnsRenamed({"id": "wid", "th": "wth"}), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).dropDuplicates(["id", "th"]).select("id", "th", "text", "want")
 
     def cut(batches):
-        for batch in batches:
-            data, offs = column_bytes(batch, "text")
-            for i, (d, th, want) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+        for batch, data, offs in slices(batches, "text", SLICE):
+            for i, (d, th, want) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True)):
                 text = data[offs[i] : offs[i + 1]].tobytes()
-                n = len(want)
-                pieces = [text[w["at"] >> 16 : (w["at"] >> 16) + ((w["at"] >> 8) & 255)] for w in want]
-                yield pa.RecordBatch.from_arrays([pa.array([w["h"] for w in want], pa.int64()), pa.array([d] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array([w["at"] for w in want], pa.int64()), pa.array(pieces, pa.binary()), pa.array([w["m"] for w in want], pa.int64())], names=["h", "id", "th", "at", "text", "m"])
-
-    contexts = durable(sources.mapInArrow(cut, "h long, id long, th long, at long, text binary, m long"))
-    marks = shard_marks(contexts.where(F.col("m") <= HOT)).unionByName(hot_marks(contexts.where(F.col("m") > HOT))).unionByName(copies)
+                rows, sizes = [], []
+                for w in want.as_py():
+                    start, length, off = w["at"] >> 16, (w["at"] >> 8) & 255, w["at"] & 255
+                    lo, hi = (off - HALF, off + K) if w["side"] == 0 else (off, off + K + HALF)
+                    rows.append(piece(w["h"].to_bytes(8, "little", signed=True) + b"rl"[w["side"] : w["side"] + 1], d, th, start, lo, hi, text[start : start + length]))
+                    sizes.append(w["m"])
+                batch_ = pieces(rows)
+                yield pa.RecordBatch.from_arrays([*batch_.columns, pa.array(sizes, pa.int64())], names=[*batch_.schema.names, "m"])
+
+    groups = durable(sources.mapInArrow(cut, f"{PIECE_SQL}, m long"))
+    marks = group_marks(groups).unionByName(copies)
     return durable(marks.groupBy("id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")))
 
 
-def merged(cuts: list[dict]) -> list[tuple[int, int]]:
-    out: list = []
-    for lo, hi in sorted((c["start"], c["stop"]) for c in cuts):
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return out
+def uncovered(cuts: pa.ListArray, offs: np.ndarray) -> np.ndarray:
+    """Which bytes of a slice of texts no stretch covers; cuts holds each text's stretches, in any order."""
+    count = pc.fill_null(pc.list_value_length(cuts), 0).to_numpy(zero_copy_only=False)
+    flat = cuts.flatten()
+    base = np.repeat(offs[:-1], count)
+    edge = np.bincount(flat.field("start").to_numpy() + base, minlength=offs[-1] + 1).astype(np.int32)
+    edge -= np.bincount(flat.field("stop").to_numpy() + base, minlength=offs[-1] + 1).astype(np.int32)
+    return np.cumsum(edge[:-1]) == 0
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,16 +282,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     both = d.join(cuts, d.id.eqNullSafe(F.col("cid")) & (d.th == F.col("cth")), "left").select("id", "text", "cuts")
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 4 << 20):
-            removed, spans, kept = [], [], []
-            for i, cuts in enumerate(batch.column(2).to_pylist()):
-                text = data[offs[i] : offs[i + 1]].tobytes()
-                runs = merged(cuts) if cuts else []
-                edges = [0, *(x for r in runs for x in r), len(text)]
-                kept.append(b"".join(text[lo:hi] for lo, hi in zip(edges[::2], edges[1::2], strict=True)))
-                removed.append(sum(hi - lo for lo, hi in runs))
-                spans.append(len(runs))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+        for batch, data, offs in slices(batches, "text", SLICE):
+            stay = uncovered(batch.column(2), offs)
+            upto = np.concatenate([[0], np.cumsum(stay)])[offs]
+            begins = ~stay
+            begins[1:] &= stay[:-1]
+            heads = offs[:-1][np.diff(offs) > 0]
+            begins[heads] = ~stay[heads]
+            spans = np.diff(np.concatenate([[0], np.cumsum(begins)])[offs])
+            kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offs) - 1, [None, pa.py_buffer(upto), pa.py_buffer(data[stay])]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs)), pa.array(np.diff(offs) - np.diff(upto)), pa.array(spans), kept], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return both.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", id_col)
 
@@ -261,21 +300,24 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """``docs`` with the repeated bytes cut out of its texts. Bytes of a character that was cut in half go too.
     Rows of which nothing is left go; rows that were empty or null before stay as they are."""
     cuts = removed_stretches(keyed(docs, id_col, text_col)).withColumnsRenamed({"id": "cid", "th": "cth"})
-    ids = keyed(docs.withColumn("__row", F.struct(*docs.columns)), id_col, text_col, ["__row"])
-    both = ids.join(cuts, ids.id.eqNullSafe(F.col("cid")) & (ids.th == F.col("cth")), "left").select("text", "cuts", "__row")
+    rest = [c for c in docs.columns if c != text_col]
+    whole = docs.withColumns({"__rest": F.struct(*[F.col(f"`{c}`") for c in rest]), "__null": F.col(text_col).isNull()})
+    ids = keyed(whole, id_col, text_col, ["__rest", "__null"])
+    both = ids.join(cuts, ids.id.eqNullSafe(F.col("cid")) & (ids.th == F.col("cth")), "left").select("text", "cuts", "__rest", "__null")
 
     def run(batches):
-        for batch, data, offs in slices(batches, "text", 4 << 20):
-            kept = []
-            for i, cuts in enumerate(batch.column(1).to_pylist()):
-                text = data[offs[i] : offs[i + 1]].tobytes()
-                edges = [0, *(x for r in merged(cuts) for x in r), len(text)] if cuts else [0, len(text)]
-                kept.append(b"".join(text[lo:hi] for lo, hi in zip(edges[::2], edges[1::2], strict=True)).decode("utf-8", "ignore") if cuts else None)
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), batch.column(2)], names=["kept", "row"])
-
-    row = docs.select(F.struct(*docs.columns).alias("row")).schema["row"].dataType.simpleString()
-    out = both.mapInArrow(run, f"kept string, row {row}").where(F.col("kept").isNull() | (F.col("kept") != ""))
-    return out.select(*[(F.coalesce("kept", f"row.`{c}`") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+        for batch, data, offs in slices(batches, "text", SLICE):
+            stay = uncovered(batch.column(1), offs)
+            upto = np.concatenate([[0], np.cumsum(stay)])[offs]
+            left, hit = data[stay], np.diff(upto) < np.diff(offs)
+            kept = [left[upto[i] : upto[i + 1]].tobytes().decode("utf-8", "ignore") if hit[i] else None for i in range(len(hit))]
+            text = pc.if_else(pa.array(hit), pa.array(kept, pa.string()), pc.if_else(batch.column(3), pa.scalar(None, pa.string()), batch.column(0).cast(pa.string())))
+            gone = pc.and_(pa.array(hit), pc.equal(pc.fill_null(text, "x"), ""))
+            yield pa.RecordBatch.from_arrays([text, batch.column(2)], names=["text", "rest"]).filter(pc.invert(gone))
+
+    row = whole.select(F.col("__rest").alias("rest")).schema["rest"].dataType.simpleString()
+    out = both.mapInArrow(run, f"text string, rest {row}")
+    return out.select(*[(F.col("text") if c == text_col else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
