@@ -11,7 +11,7 @@ these as many as hold ``MAX_BYTES``, very long texts last (see ``op7_toxicity.sa
 source and id are no inputs of a score.
 
 Null and empty texts are a bag of one all-zero passage and get a score too. Repeated rows and null
-ids are scored like any other row; labels of a null id, null labels and ids with contradictory
+ids are scored like any other row, and a null id is not held out; labels of a null id, null labels and ids with contradictory
 labels are left out of training. With a class missing from training, all scores are 0.5.
 Columns beyond the named ones are not read.
 """
@@ -198,5 +198,5 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
-    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -1,14 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Texts are folded to 64 symbols (letters without case, one digit, white space, punctuation,
-UTF-8 continuation bytes; lead bytes are left out, so that an accented letter is one symbol). Each class has an interpolated Kneser-Ney model of order ``ORDER``, with
+UTF-8 continuation bytes; lead bytes are left out, so that an accented letter is one symbol). Each class has an interpolated
+Kneser-Ney model of order ``ORDER`` over the symbols of a word, whose contexts begin with the word, with
 continuation counts of the class down to order 4 and below that one shared model whose continuation counts
 come from all documents, labelled or not, so that expressions rare in a class are smoothed
-by what the whole corpus knows. A symbol's log-likelihood ratio is toxic against ordinary; where
+by what the whole corpus knows; its discount is estimated from the corpus' counts of counts. A symbol's log-likelihood ratio is toxic against ordinary; where
 an n-gram is new to both classes, the ratio of the backoff weights and the ratio one order
-below are left, and below order 4 the shared part cancels. The ratio is normalised by length over the whole text; beside it stand the highest ratio of
-a word and the number and share of words above ``HIGH``. A logistic curve over these, fitted on labelled
-rows that the counts have not seen, gives the score.
+below are left, and below order 4 the shared part cancels.
+
+Toxic documents are ordinary but for a few words, so their model of a word mixes the two: (1 - e) ordinary + e toxic. The
+log-likelihood ratio of this against ordinary, summed over the words and divided by their number, leads the score, for two
+values of e; beside it stand the sum over the root of the number, the number and share of words of a high ratio, and the highest ratios.
+A logistic curve over these, fitted on labelled rows that the counts have not seen, gives the score. Words end
+after ``LONGEST`` symbols, so that texts without blanks have words too.
 
 Bounds, for the classifier alone: ``MAX_ROWS`` labelled rows a class, those of lowest hash, and of
 these as many as hold ``MAX_BYTES``; a text of over a ``SHARE``-th of those bytes comes after all others, shortest
@@ -16,7 +21,7 @@ first, and only if it fits whole (of a class of such texts alone, the shortest i
 64**4 keys. Labels, language, source and id are no inputs of a score.
 
 Null and empty texts have no symbol and get the score of an all-zero ratio. Repeated rows and null
-ids are scored like any other row; labels of a null id, null labels and ids with contradictory
+ids are scored like any other row, and a null id is not held out; labels of a null id, null labels and ids with contradictory
 labels are left out of training. With a class missing from training, all scores are 0.5 less a bit
 (predicted 0). Columns beyond the named ones are not read.
 """
@@ -31,9 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import durable, forget, slices, table
 
-ORDER, HIGH, DISCOUNT = 7, 4.0, 0.75
+ORDER, HIGH, DISCOUNT, LONGEST = 7, 4.0, 0.75, 24
+#: Shares of toxic words that the model of toxic documents assumes.
+SHARES = 0.003, 0.03
+FEATURES = 8
 MAX_ROWS, MAX_BYTES, SHARE = 4000, 12 << 20, 16
 PAD = ORDER - 1
 
@@ -67,13 +75,20 @@ def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return s, at, end
 
 
+def in_word(s: np.ndarray) -> np.ndarray:
+    """How many symbols each place is after the last blank before it."""
+    at = np.arange(len(s))
+    last = np.maximum.accumulate(np.where(s == 0, at, 0))
+    return at - np.concatenate([last[:1], last[:-1]])
+
+
 def grams(s: np.ndarray, order: int) -> np.ndarray:
-    """At each place, the key of the n-gram that ends there."""
+    """At each place, the key of the n-gram that ends there; what is before the word counts as blank."""
     wide = np.int64 if order > 5 else np.int32
     key = s.astype(wide)
     for k in range(1, order):
         key[k:] |= s[:-k].astype(wide) << wide(6 * k)
-    return key
+    return key & ((wide(1) << (6 * np.clip(in_word(s), 1, order)).astype(wide)) - wide(1))
 
 
 def inside(s: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -84,8 +99,10 @@ def inside(s: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def shared_counts(docs: DataFrame, text_col: str) -> pd.DataFrame:
-    """(key, n) of all 4-grams of all documents; summed in each task before the shuffle."""
+def shared_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, float]:
+    """(how many symbols precede each 3-gram of the corpus, the discount n1 / (n1 + 2 n2) of its 4-grams).
+
+    4-grams of all documents are counted in each task before the shuffle; the driver gets counts of the 64**3 3-grams."""
 
     def run(batches):
         total = np.zeros((16, 64**4 // 16), np.uint32)  # a task reads a few input blocks
@@ -102,24 +119,26 @@ def shared_counts(docs: DataFrame, text_col: str) -> pd.DataFrame:
             k = hit[lo : lo + 200_000]
             yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k].astype(np.int64))], names=["key", "n"])
 
-    got = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    return pd.DataFrame({"key": got["key"].to_numpy().astype(np.int64), "n": got["n"].to_numpy().astype(np.int64)})
+    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    below = counts.groupBy(F.col("key").bitwiseAND(64**3 - 1).alias("key")).agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("one"), F.count_if(F.col("n") == 2).alias("two")).toArrow()
+    kinds = np.zeros(64**3)
+    kinds[below["key"].to_numpy()] = below["kinds"].to_numpy()
+    one, two = (int(below[c].to_numpy().sum()) for c in ("one", "two"))
+    return kinds, one / (one + 2 * two) if one and two else DISCOUNT
 
 
-def shared_model(counts: pd.DataFrame) -> np.ndarray:
+def shared_model(kinds: np.ndarray, discount: float = DISCOUNT) -> np.ndarray:
     """P(symbol | 2 before) for all 64**3 keys: Kneser-Ney, interpolated down to the uniform."""
-    seen = np.zeros(64**4, bool)
-    seen[counts["key"].to_numpy()] = True
-    conts = [seen]
-    for w in (3, 2, 1):  # continuation counts: kinds of symbols seen before
+    conts = [kinds]
+    for w in (2, 1):  # continuation counts: kinds of symbols seen before
         conts.append((conts[-1].reshape(64, 64**w) > 0).sum(0).astype(np.float64))
     p = np.full(1, 1 / 64)
-    for c in reversed(conts[1:]):
+    for c in reversed(conts):
         c = c.reshape(-1, 64)
         low = np.broadcast_to(p, (64, p.size)).reshape(-1, 64) if p.size > 1 else np.full((1, 64), p[0])
-        n, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
+        n, some = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
         with np.errstate(divide="ignore", invalid="ignore"):
-            q = np.maximum(c - DISCOUNT, 0) / n + DISCOUNT * kinds / n * low
+            q = np.maximum(c - discount, 0) / n + discount * some / n * low
         p = np.where(n > 0, q, low).reshape(-1)
     return p
 
@@ -194,27 +213,25 @@ class Scorer:
 
     def features(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         n = len(offs) - 1
-        out = np.zeros((n, 4))
+        out = np.zeros((n, FEATURES))
         s, at, end = symbols(data, offs)
-        full = np.flatnonzero(end > at)
-        if not len(full):
+        if not len(s):
             return out
-        r = np.where(inside(s, at, end), self.ratios(grams(s, ORDER)), 0)
-        # words begin at a symbol after a blank; padding makes a text's first symbol such a place
-        begins = np.flatnonzero((s[1:] != 0) & (s[:-1] == 0)) + 1
-        if not len(begins):
+        ok = inside(s, at, end)
+        begins = np.flatnonzero(ok & (s != 0) & (in_word(s) % LONGEST == 1))
+        full = np.flatnonzero(np.searchsorted(begins, end) > np.searchsorted(begins, at))
+        if not len(full):
             return out
-        word = np.add.reduceat(r, begins, dtype=np.float64)
+        word = np.add.reduceat(np.where(ok, self.ratios(grams(s, ORDER)), 0), begins, dtype=np.float64)
         first, last = np.searchsorted(begins, at[full]), np.searchsorted(begins, end[full])
-        full, first, last = (x[last > first] for x in (full, first, last))
-        high = np.concatenate([[0], np.cumsum(word > HIGH)])
-        total = np.concatenate([[0], np.cumsum(word)])
-        many = high[last] - high[first]
-        out[full, 0] = (total[last] - total[first]) / (end - at)[full]
-        spans = np.column_stack([first, last]).ravel()
-        out[full, 1] = np.maximum.reduceat(np.append(word, -np.inf), spans)[::2]
-        out[full, 2] = np.log1p(many)
-        out[full, 3] = many / (last - first)
+        many = last - first
+        odds = np.exp(np.clip(word, -20, 20))
+        total = lambda x: np.add.reduceat(x, first, dtype=np.float64)
+        mean = [total(np.log1p(e * (odds - 1))) / many for e in SHARES]
+        high = total(word > HIGH)
+        order = np.lexsort((-word, np.repeat(np.arange(len(full)), many)))
+        top = [np.where(many > k, word[order[np.minimum(first + k, last - 1)]], np.nan) for k in range(3)]
+        out[full] = np.column_stack([*mean, mean[0] * np.sqrt(many), np.log1p(high), high / many, total(word > HIGH / 2) / many, np.nanmean(top, axis=0), top[0]])
         return out
 
 
@@ -259,27 +276,30 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", held_mod: int = 5, held_rest: int = 0):
-    """(ratio tables, logistic curve), or None if a class has no labelled row."""
+    """(broadcast ratio tables, logistic curve), or None if a class has no labelled row."""
     rows = sample(docs, labels, label_col, id_col, text_col, held_mod, held_rest, MAX_ROWS, MAX_BYTES)
     if rows is None:
         return None
-    rows = rows.withColumnRenamed("y", "toxic").select("text", "toxic", "part").persist()
-    tables = ratio_tables(class_counts(rows.where("part > 0")), shared_model(shared_counts(docs, text_col)))
+    rows = durable(rows.withColumnRenamed("y", "toxic").select("text", "toxic", "part"))
+    tables = ratio_tables(class_counts(rows.where("part > 0")), shared_model(*shared_counts(docs, text_col)))
     model = docs.sparkSession.sparkContext.broadcast(tables)
+    del tables
+    pa.default_memory_pool().release_unused()
+    names = [f"x{k}" for k in range(FEATURES)]
 
     def run(batches):
         scorer = Scorer(model.value)
         for batch, data, offs in slices(batches, "text", 1 << 20):
-            x = scorer.features(data, offs)
-            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x[:, k]) for k in range(4))], names=["y", *"abcd"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x) for x in scorer.features(data, offs).T)], names=["y", *names])
 
-    unseen = rows.where("part = 0").select("text", "toxic").mapInArrow(run, "y int, a double, b double, c double, d double").toPandas()
-    rows.unpersist()
-    model.unpersist()
+    unseen = rows.where("part = 0").select("text", "toxic").mapInArrow(run, "y int, " + ", ".join(f"{x} double" for x in names)).toPandas()
+    forget(docs.sparkSession, rows.inputFiles())
     if unseen["y"].nunique() < 2:
-        return tables, (np.zeros(4), np.ones(4), np.array([0.0, 1.0, 0.0, 0.0, -HIGH]))
-    unseen = unseen.sort_values(["y", *"abcd"])
-    return tables, logistic(unseen[[*"abcd"]].to_numpy(), unseen["y"].to_numpy())
+        weights = np.zeros(FEATURES + 1)
+        weights[-2:] = 1.0, -HIGH
+        return model, (np.zeros(FEATURES), np.ones(FEATURES), weights)
+    unseen = unseen.sort_values(["y", *names])
+    return model, logistic(unseen[names].to_numpy(), unseen["y"].to_numpy())
 
 
 def score(docs: DataFrame, model, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -287,13 +307,12 @@ def score(docs: DataFrame, model, text_col: str = "text", out: str = "score") ->
     docs = docs.drop(out)
     if model is None:
         return docs.withColumn(out, F.lit(math.nextafter(0.5, 0)))
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    tables, fitted = model
     names = docs.columns
     frame = docs.withColumn("__text", F.col(text_col).cast("string"))
 
     def run(batches):
-        tables, fitted = shipped.value
-        scorer = Scorer(tables)
+        scorer = Scorer(tables.value)
         for batch, data, offs in slices(batches, "__text", 1 << 20):
             got = curve(scorer.features(data, offs), fitted)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(got)], names=[*names, out])
@@ -304,5 +323,5 @@ def score(docs: DataFrame, model, text_col: str = "text", out: str = "score") ->
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
-    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -176,7 +176,7 @@ def labelled(spark, n=360):
             t = " ".join(w)
         rows.append((i, t if good else re.sub(r" ", "%%% ", t.upper())))
         labels.append((i, int(good), int(toxic), "q"))
-    rows += [(None, None), (n, ""), (n + 1, "x"), (1, rows[1][1])]
+    rows += [(None, None), (n, ""), (n + 1, "x"), (1, rows[1][1]), (n + 2, "   "), (n + 3, "abcdefgh" * 9000), (n + 4, "\u65e5\u672c" * 4000)]
     labels += [(None, 1, 1, "q"), (n + 5, None, None, "q"), (1, 1, 0, "q")]
     return frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string"), {x[0]: x for x in labels}
 
@@ -190,6 +190,8 @@ def test_op7_and_op3(spark):
         assert len(test) > 40 and sum(test) / len(test) > 0.9, column
         alone = op.score(docs, op.fit(docs, labels.where("toxic = 0 AND quality = 1"))).select("score").distinct().collect()
         assert len(alone) == 1 and op.score(docs.limit(0), None).count() == 0
+        assert op.fit(docs.limit(0), labels) is None and op.fit(docs, labels.limit(0)) is None
+        assert op.score(docs.limit(0), op.fit(docs, labels)).count() == 0
 
 
 def test_op7_and_op3_sample_outlives_long_texts(spark):
@@ -209,13 +211,77 @@ def test_op7_and_op3_sample_outlives_long_texts(spark):
 
 
 def test_op7_shared_model_sums_to_one():
-    import pandas as pd
-
     rng = np.random.default_rng(0)
-    p = op7.shared_model(pd.DataFrame({"key": np.unique(rng.integers(0, 64**4, 5000)), "n": 1})).reshape(-1, 64)
+    p = op7.shared_model(np.bincount(np.unique(rng.integers(0, 64**4, 5000)) % 64**3, minlength=64**3).astype(float), 0.6).reshape(-1, 64)
     assert np.allclose(p.sum(1), 1)
 
 
+def folded(text):
+    """Each word with its closing blank, as symbols."""
+    s = [int(op7.FOLD[b]) for b in text.encode() if b < 192]
+    words, at = [], []
+    for x in s:
+        at.append(x)
+        if x == 0:
+            words.append(at)
+            at = []
+    return words + [at]
+
+
+def naive_grams(text, order):
+    for w in folded(text):
+        for k in range(len(w)):
+            yield tuple(([0] * order + w[: k + 1])[-order:])
+
+
+def test_op7_against_naive_kneser_ney(spark):
+    rng = random.Random(31)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))) for _ in range(30)]
+    rows = [(sentences(rng, rng.randint(5, 60), words[: 18 + 6 * (k % 3)]), k % 2) for k in range(20)]
+    every = [t for t, _ in rows] + [sentences(rng, 50, words) for _ in range(5)] + ["", None, "  "]
+    four = Counter(x for t in every for x in naive_grams(t or "", 4))
+    kinds, discount = op7.shared_counts(spark.createDataFrame([(t,) for t in every], "text string").repartition(3), "text")
+    one, two = (sum(n == k for n in four.values()) for k in (1, 2))
+    assert discount == (one / (one + 2 * two) if one and two else op7.DISCOUNT)
+    key = lambda x: sum(v << 6 * i for i, v in enumerate(reversed(x)))
+    assert {k: int(kinds[k]) for k in np.flatnonzero(kinds)} == Counter(key(x[1:]) for x in four)
+    conts = {3: Counter(x[1:] for x in four)}
+    for k in (2, 1):
+        conts[k] = Counter(x[1:] for x in conts[k + 1])
+
+    def shared(x):
+        if not x:
+            return 1 / 64
+        c = {v: n for v, n in conts[len(x)].items() if v[:-1] == x[:-1]}
+        below = shared(x[1:])
+        return max(c.get(x, 0) - discount, 0) / sum(c.values()) + discount * len(c) / sum(c.values()) * below if c else below
+
+    def model(toxic):
+        levels = {op7.ORDER: Counter(x for t, y in rows if y == toxic for x in naive_grams(t, op7.ORDER))}
+        for k in range(op7.ORDER - 1, 3, -1):
+            levels[k] = Counter(x[1:] for x in levels[k + 1])
+
+        def p(x):
+            if len(x) == 3:
+                return shared(x)
+            c = {v: n for v, n in levels[len(x)].items() if v[:-1] == x[:-1]}
+            d = op7.DISCOUNT
+            return max(c.get(x, 0) - d, 0) / sum(c.values()) + d * len(c) / sum(c.values()) * p(x[1:]) if c else p(x[1:])
+
+        return p
+
+    tables = op7.ratio_tables(op7.class_counts(spark.createDataFrame(rows, "text string, toxic int")), op7.shared_model(kinds, discount))
+    t, o = model(1), model(0)
+    probe = sorted({x for text in [sentences(rng, 30, words), "zz abé caé x"] for x in naive_grams(text, op7.ORDER)})
+    got = op7.Scorer(tables).ratios(np.array([key(x) for x in probe]))
+    assert np.allclose(got, [np.log(t(x) / o(x)) for x in probe], atol=1e-4)
+    # the first feature: the mean over words of the mixed model's log-likelihood ratio
+    text = "zz abé caé x " + sentences(rng, 30, words)
+    per = [sum(np.log(t(x) / o(x)) for k in range(len(w)) for x in [tuple(([0] * op7.ORDER + w[: k + 1])[-op7.ORDER :])]) for w in folded(text)]
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert np.isclose(op7.Scorer(tables).features(data, np.array([0, len(data)]))[0, 0], np.mean([np.log(1 - op7.SHARES[0] + op7.SHARES[0] * np.exp(r)) for r in per]), atol=1e-5)
+
+
 def test_op4(spark):
     rng = random.Random(2)
     rows = [(i, "t", rng.choice(["a", "a", "a", "b", "c", None])) for i in range(3000)] + [(5, "t", "a"), (5, "t", "a"), (None, None, "b")]
