@@ -37,7 +37,7 @@ from .induced_sort import Shard
 
 WINDOW, K, HOT = 100, 24, 2_000
 #: Bytes of text that one step works on.
-SLICE = 1 << 20
+SLICE = 1 << 19
 SPAN = WINDOW - K + 1  # places an anchor can have in a window
 HALF = SPAN // 2
 U = np.uint64
@@ -133,7 +133,7 @@ def repeats_in(shard: list[tuple]) -> list[tuple[int, int, int]]:
     return list(zip(w.tolist(), (later[new] - s.start[w]).tolist(), (later[last] - s.start[w] + WINDOW).tolist(), strict=True))
 
 
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: A piece of a context in a group: where it starts in its document, and where in it the shared stretch starts and stops.
 PIECE = [("g", pa.binary()), ("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("text", pa.binary())]
 PIECE_SQL = "g binary, id long, th long, start long, lo int, hi int, text binary"
