@@ -10,7 +10,8 @@ recall does not fall as tables grow; it is measured against brute force in the t
 
 Equal vectors are one leaf that keeps the k+1 smallest ids, which is all an answer of k can need, so
 a vector held by a third of all rows costs as much as any other. Every query visits every
-shard in blocks of ``query_block`` queries; rows of one shard number about ``shard_rows``.
+shard: a task searches one shard of about ``shard_rows`` rows for one block of about ``query_block`` queries, and
+neither grows with the tables, but the number of such tasks is that of shards times that of blocks.
 
 Vectors that are null, zero, of another length than the most common one, or hold null or non-finite components take no part, neither do
 rows with a null id. Of repeated ids, each row is a candidate; of an id that is queried with several vectors, the
@@ -98,43 +99,41 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", v
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
     shards = max(1, math.ceil(n / shard_rows))
     blocks = max(1, math.ceil(asked.count() / query_block))
-    leaves = leaves.select(F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), F.lit(-1).alias("block"), "ids", "v")
-    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.array("id").alias("ids"), "v")
-
-    def run(key, shard):
-        x, ids, q, qid, at = [], [], [], [], []
-        for b in shard.to_batches():
-            block = b.column(1).to_numpy()
-            width = len(b.column(3)[0]) if b.num_rows else 0
-            m = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            lists = b.column(2).to_pylist()
-            here = block < 0
-            x.append(m[here])
-            ids += [lists[i] for i in np.flatnonzero(here)]
-            q.append(m[~here])
-            qid += [lists[i][0] for i in np.flatnonzero(~here)]
-            at.append(block[~here])
-        x, q, at = np.concatenate(x), np.concatenate(q), np.concatenate(at)
+    # a task holds one shard and one block of queries, each of them bounded, however many there are
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    leaves = durable(leaves).select(F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), every(blocks).alias("block"), F.lit(False).alias("asks"), "ids", "v")
+    asked = asked.select(every(shards).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("asks"), F.array("id").alias("ids"), "v")
+
+    def run(key, tile):
+        x, ids, q, qid = [], [], [], []
+        for b in tile.to_batches():
+            asks = b.column(2).to_numpy(zero_copy_only=False)
+            width = len(b.column(4)[0]) if b.num_rows else 0
+            m = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            lists = b.column(3).to_pylist()
+            x.append(m[~asks])
+            ids += [lists[i] for i in np.flatnonzero(~asks)]
+            q.append(m[asks])
+            qid += [lists[i][0] for i in np.flatnonzero(asks)]
+        x, q = np.concatenate(x), np.concatenate(q)
         order = np.argsort([i[0] for i in ids], kind="stable")
         x, ids = x[order], [ids[i] for i in order]
         out: list = []
         if len(x) and len(q):
             forest = Forest(x, trees, bits, seed)
             unit = x / np.sqrt((x * x).sum(1))[:, None]
-            for block in np.unique(at):
-                mine = np.flatnonzero(at == block)
-                for i, cand in zip(mine, forest.candidates(q[mine], reach), strict=True):
-                    s = unit[cand] @ (q[i] / np.sqrt((q[i] * q[i]).sum()))
-                    top = min(len(cand), k + 1)
-                    edge = np.partition(s, len(s) - top)[len(s) - top]
-                    cand = cand[s >= edge - 1e-9]
-                    s = exact(x[cand], q[i])
-                    best = sorted((-float(c), v) for c, j in zip(s, cand, strict=True) for v in ids[j] if v != qid[i])[:k]
-                    out += [(qid[i], v, -c) for c, v in best]
+            for i, cand in enumerate(forest.candidates(q, reach)):
+                s = unit[cand] @ (q[i] / np.sqrt((q[i] * q[i]).sum()))
+                top = min(len(cand), k + 1)
+                edge = np.partition(s, len(s) - top)[len(s) - top]
+                cand = cand[s >= edge - 1e-9]
+                s = exact(x[cand], q[i])
+                best = sorted((-float(c), v) for c, j in zip(s, cand, strict=True) for v in ids[j] if v != qid[i])[:k]
+                out += [(qid[i], v, -c) for c, v in best]
         cols = list(zip(*out, strict=True)) if out else [[]] * 3
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "id", "score"])
 
-    found = leaves.unionByName(asked).groupBy("shard").applyInArrow(run, "query_id long, id long, score double")
+    found = leaves.unionByName(asked).groupBy("shard", "block").applyInArrow(run, "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
 
