@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,13 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one only where the cluster names none."""
+    """The folder that all executors share, as spark.checkpoint.dir names it; on a single machine that names none, a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="clipsieve-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+    if where:
+        return where
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    # one machine, as in tests; the setting stays unset, so that nothing takes this folder for a shared one
+    if not _LOCAL:
+        _LOCAL.append("file://" + tempfile.mkdtemp(prefix="clipsieve-"))
+        atexit.register(shutil.rmtree, _LOCAL[0].removeprefix("file://"), ignore_errors=True)
+    return _LOCAL[0]
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -64,6 +74,18 @@ def slices(batches: Iterator[pa.RecordBatch], name: str, max_bytes: int = 4 << 2
             lo = hi
 
 
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 2**64)
+
+
+def run_hashes(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of 64-bit ``values`` that begin at ``at``, each up to the next one: polynomials in all of a run's values, however
+    long it is, that do not depend on where it stands. Zeros at a run's end count for nothing."""
+    up = np.cumprod(np.full(len(values), _STEP, np.uint64), dtype=np.uint64)
+    down = np.cumprod(np.full(len(values), _BACK, np.uint64), dtype=np.uint64)
+    return np.add.reduceat(values * up, at) * down[at]
+
+
 def out_batch(schema: list[tuple[str, pa.DataType]], *cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for (_, t), c in zip(schema, cols, strict=True)], names=[n for n, _ in schema])
 

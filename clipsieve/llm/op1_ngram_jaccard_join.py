@@ -1,12 +1,13 @@
 """N-gram Jaccard join by chosen paths.
 
 A document is the set of its shingles of ``N`` words (fewer words: the one run of all). Documents
-of equal sets share one key. In each of ``RUNS`` runs a set chooses tokens whose hash falls below
+of equal sets share one key. In each run a set chooses tokens whose hash falls below
 1/(t |set|); sets that chose a token share a bucket. Buckets of over ``SMALL`` sets are split again by tokens chosen with
-hashes of the path, three levels deep; small buckets, and the last level in blocks, are compared pairwise by
+hashes of the path, ``DEPTH`` levels deep; small buckets, and the last level in blocks, are compared pairwise by
 MinHash signatures, with a wide margin, and give a star of candidate edges each, not all pairs. A pair of
-similarity t shares a chosen token with probability over 0.65 a run and level; ``RUNS`` runs bring the
-chance to lose one below a thousandth where buckets are small.
+similarity t chooses one common token a run and path at least, on average, so it is lost in a run with the chance that a
+branching of Poisson(1) dies out within ``DEPTH`` levels. Runs are repeated until the chance to lose a pair in all of them is below
+1 - ``RECALL``, reckoned as if every bucket were split to the last level.
 
 Candidate components are then resolved exactly: the sets of each are compared all with all, in
 blocks of ``BLOCK``, every pair once, on their full shingles. So all links inside a component are found whichever
@@ -26,10 +27,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, slices, spread, table
+from .common import durable, run_hashes, slices, spread, table
 from .components import components
 
-N, RUNS, SMALL, BLOCK, SIGNATURE = 5, 10, 48, 512, 48
+N, SMALL, BLOCK, SIGNATURE, DEPTH, RECALL = 5, 48, 512, 48, 3, 0.999
+
+
+def runs_for(recall: float, depth: int) -> int:
+    """Runs after which a pair at the threshold has met in a bucket of the last level with this chance."""
+    lost = 0.0
+    for _ in range(depth):
+        lost = math.exp(lost - 1)
+    return math.ceil(math.log(1 - recall) / math.log(lost))
+
+
+RUNS = runs_for(RECALL, DEPTH)
 U = np.uint64
 
 
@@ -39,7 +51,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(33))
 
 
-_POW = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, U), dtype=U)
 _BYTE = mix(np.arange(1, 257, dtype=U))
 _PLACE = mix(np.arange(101, 101 + N, dtype=U)) | U(1)
 _RUN = mix(np.arange(1001, 1001 + RUNS, dtype=U))
@@ -60,12 +71,10 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray):
     at = np.flatnonzero(begin)
     if not len(at):
         return [np.zeros(0, U)] * n
-    word = np.cumsum(begin) - 1
-    place = np.minimum(np.arange(len(data)) - at[np.maximum(word, 0)], 63)
-    h = mix(np.add.reduceat(np.where(solid, _BYTE[data] * _POW[np.where(solid, place, 0)], U(0)), at))
+    h = mix(run_hashes(np.where(solid, _BYTE[data], U(0)), at))
     first = np.searchsorted(at, offs)
     runs = np.zeros(len(h), U)
-    for k in range(N):
+    for k in range(min(N, len(h))):
         runs[: len(h) - k] += h[k:] * _PLACE[k]
     runs = mix(runs)
     out = []

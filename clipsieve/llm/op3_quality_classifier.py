@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import run_hashes, slices, table
 from .op7_toxicity import sample
 
 PASSAGE, HIDDEN, GATE, STEPS, RATE = 1024, 24, 12, 250, 0.02
@@ -47,7 +47,6 @@ def kinds() -> tuple[np.ndarray, np.ndarray]:
 FINE, COARSE = kinds()
 N_FINE, N_COARSE = 48, 8
 WIDTH = N_FINE + N_COARSE**2 + 6
-_POW = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 _BYTE = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) ^ np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -80,9 +79,7 @@ def passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin[1:] &= ~(solid[:-1] & same)
     at = np.flatnonzero(begin)
     if len(at):
-        word = np.cumsum(begin) - 1
-        place = np.minimum(np.arange(len(data)) - at[np.maximum(word, 0)], 63)
-        h = np.add.reduceat(np.where(solid, _BYTE[data] * _POW[np.where(solid, place, 0)], np.uint64(0)), at)
+        h = run_hashes(np.where(solid, _BYTE[data], np.uint64(0)), at)
         wp = p[at]
         words = np.bincount(wp, minlength=total).astype(np.float64)
         bits = np.uint64(64 - max(16, int(total).bit_length()))
