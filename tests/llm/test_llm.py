@@ -123,6 +123,30 @@ def test_op1_counts_links_between_texts(spark, monkeypatch):
         assert {(r.doc_id, r.n_links) for r in got} == {(i, want[t]) for i, t in rows}
 
 
+def test_op1_long_words_differ_by_their_ends(spark):
+    rng = random.Random(22)
+    han = "".join(chr(0x4E00 + rng.randrange(500)) for _ in range(3000))
+    rows = [(1, "x" * 70 + "bcdefg"), (2, "x" * 70 + "gfedcb"), (3, "x" * 70 + "bcdefg"), (4, han), (5, han[:2000] + han[2500:] + han[2000:2500]), (6, han), (7, "ab " * 30), (8, "x" * 5000)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in op1.jaccard_classes(frame(spark, rows)).collect()}
+    assert got == {1: (1, 0), 2: (2, 0), 3: (1, 0), 4: (4, 0), 5: (5, 0), 6: (4, 0), 7: (7, 0), 8: (8, 0)}
+
+
+def test_op1_recall_in_large_buckets(spark, monkeypatch):
+    """Pairs at little over the threshold, all of whose sets share a passage, so that buckets are split to the last level."""
+    monkeypatch.setattr(op1, "SMALL", 4)
+    assert op1.runs_for(0.999, 1) == 7 and op1.RUNS == op1.runs_for(op1.RECALL, op1.DEPTH) == 15
+    rng = random.Random(23)
+    shared, rows = sentences(rng, 20), []
+    for k in range(200):
+        w = [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(70)]
+        rows.append((2 * k, f"{shared} {' '.join(w)}"))
+        w[-9:] = [f"z{rng.randrange(10**6)}" for _ in range(9)]  # 9 of 86 shingles differ
+        rows.append((2 * k + 1, f"{shared} {' '.join(w)}"))
+    want = classes(rows)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in op1.jaccard_classes(frame(spark, rows)).collect()}
+    assert sum(n for _, _, n in want) == 400 and sum(got[i] == (c, n) for i, c, n in want) >= 398
+
+
 def test_components(spark):
     e = [(1, 2), (2, 3), (9, 8), (3, 1), (5, 5), (None, 4), (7, 3), (10, 9)]
     got = {r.node: r.label for r in components(spark.createDataFrame(e, "a int, b int")).collect()}
@@ -495,12 +519,35 @@ def test_op9(spark, monkeypatch):
     got = {(r.doc_id, r.item_id, r.n_hit, r.n_shingles) for r in op9.contained(d, it).collect()}
     assert got == want and len(want) > 8
     monkeypatch.setattr(op9, "BROADCAST_SHINGLES", 3)
+    monkeypatch.setattr(op9, "BROADCAST_ROWS", 1)
     assert {(r.doc_id, r.item_id, r.n_hit, r.n_shingles) for r in op9.contained(d, it).collect()} == want
     bad = {i for i, *_ in want}
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in op9.clean(d, it).collect()) == sorted((i is None, i or 0) for i, _ in rows if i not in bad)
     assert op9.contained(d.limit(0), it).count() == 0 and op9.contained(d, it.limit(0)).count() == 0
     plan = op9.contained(d, it)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+    # the sketches alone are searched: one shingle of an item of five or fewer, a fifth of longer ones, and no pair is lost
+    table_ = op9.item_table(it, "item_id", "text", 5)
+    n = {(r.item, r.ih): r.n_shingles for r in table_.collect()}
+    sketch = Counter((r.item, r.ih) for r in op9.sketches(table_, 0.8).collect())
+    assert sketch == {k: int(0.2 * v + 1e-9) + 1 for k, v in n.items()}
+    probed = d.select(F.col("doc_id").alias("id"), op9.text_hash("text").alias("th"), "text")
+    met = {(r.id, r.item) for r in op9.candidates(probed, op9.sketches(table_, 0.8), 5).collect()}
+    assert met >= {(i, k) for i, k, *_ in want} and len(met) < len(rows) * len(items)
+    # a document shorter than an item's partition needs is no candidate, though it holds a shingle of its sketch
+    low = op9.sketches(table_, 0.8).orderBy(F.desc("least")).first()
+    text = next(" ".join(g) for _, s in items for g in sh(s) if spark.range(1).select(F.xxhash64(F.array(*map(F.lit, g)))).first()[0] == low.h)
+    assert low.least > 1 and op9.candidates(spark.createDataFrame([(1, 1, text)], "id long, th long, text string"), op9.sketches(table_, 0.8), 5).count() == 0
+
+
+def test_op9_items_of_one_id_are_judged_each(spark):
+    rng = random.Random(14)
+    a, b = sentences(rng, 12), sentences(rng, 12)
+    long = " ".join(sentences(rng, 6000).split() + b.split())
+    it = spark.createDataFrame([(1, a), (1, b), (1, b), (None, a), (None, b)], "item_id long, text string")
+    d = frame(spark, [(5, f"{a} {sentences(rng, 40)}"), (6, long), (7, " ".join(a.split()[:8] + b.split()[:8]))])
+    got = Counter((r.doc_id, r.item_id, r.n_hit) for r in op9.contained(d, it).collect())
+    assert got == {(5, 1, 8): 1, (5, None, 8): 1, (6, 1, 8): 1, (6, None, 8): 1}
 
 
 def test_op9_and_op1_judge_rows_of_one_id_by_their_own_text(spark):
