@@ -26,23 +26,12 @@ BROADCAST_ROWS = 500_000
 BROADCAST_SHINGLES = 500_000
 
 
-def of_words(text: Column, f) -> Column:
-    """``f`` of the words of a text; the one-element array binds them to a variable, so that they are split once."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.flatten(F.transform(F.array(words), f))
-
-
-def runs(ws: Column, n: int, f) -> Column:
-    return F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - (n - 1), F.lit(0))), lambda w, i: f(F.slice(ws, i + 1, n)))
-
-
 def shingles(text: Column, n: int) -> Column:
     """Array of the runs of ``n`` words, joined by one space."""
-    return of_words(text, lambda ws: runs(ws, n, lambda x: F.array_join(x, " ")))
-
-
-def shingle_hashes(text: Column, n: int) -> Column:
-    return of_words(text, lambda ws: runs(ws, n, F.xxhash64))
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    runs = lambda ws: F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - (n - 1), F.lit(0))), lambda w, i: F.concat_ws(" ", w, *[F.get(ws, i + k) for k in range(1, n)]))
+    # the one-element array binds the words to a variable, so that they are split once
+    return F.flatten(F.transform(F.array(words), runs))
 
 
 def text_hash(text_col: str) -> Column:
@@ -70,13 +59,16 @@ def item_table(items: DataFrame, item_col: str, text_col: str, n: int) -> DataFr
 def sketches(it: DataFrame, threshold: float) -> DataFrame:
     """(h, item, ih, least): the sketch of every item, with the size a document needs to contain any item of its partition."""
     size = F.pow(F.lit(2.0), F.col("part"))
-    low = F.slice(F.array_sort(F.transform("all", lambda s: F.xxhash64(F.split(s, " ")))), F.lit(1), (lacking(F.col("n_shingles"), threshold) + 1).cast("int"))
+    low = F.slice(F.array_sort(F.transform("all", lambda s: F.xxhash64(s))), F.lit(1), (lacking(F.col("n_shingles"), threshold) + 1).cast("int"))
     return it.select("item", "ih", (size - lacking(size, threshold)).cast("int").alias("least"), F.explode(low).alias("h"))
 
 
 def candidates(docs: DataFrame, sketch: DataFrame, n: int) -> DataFrame:
     """(id, th, item, ih) of the documents (id, th, text) that hold a shingle of an item's sketch and are long enough."""
-    probe = docs.select("id", "th", shingle_hashes(F.col("text"), n).alias("hs")).select("id", "th", F.size("hs").alias("n_doc"), F.explode("hs").alias("h"))
+    # The size is taken before the array is unfolded, so that its rows carry the number and not the array. For a plain explode
+    # Spark infers a filter on the array's size and pushes it down to the scan, where the shingles are made a second time.
+    probe = docs.select("id", "th", shingles(F.col("text"), n).alias("all")).withColumn("n_doc", F.size("all"))
+    probe = probe.select("id", "th", "n_doc", F.explode_outer("all").alias("s")).where("s IS NOT NULL").withColumn("h", F.xxhash64("s"))
     return probe.join(sketch, "h").where("n_doc >= least").select("id", "th", "item", "ih").distinct()
 
 

@@ -536,7 +536,7 @@ def test_op9(spark, monkeypatch):
     assert met >= {(i, k) for i, k, *_ in want} and len(met) < len(rows) * len(items)
     # a document shorter than an item's partition needs is no candidate, though it holds a shingle of its sketch
     low = op9.sketches(table_, 0.8).orderBy(F.desc("least")).first()
-    text = next(" ".join(g) for _, s in items for g in sh(s) if spark.range(1).select(F.xxhash64(F.array(*map(F.lit, g)))).first()[0] == low.h)
+    text = next(" ".join(g) for _, s in items for g in sh(s) if spark.range(1).select(F.xxhash64(F.lit(" ".join(g)))).first()[0] == low.h)
     assert low.least > 1 and op9.candidates(spark.createDataFrame([(1, 1, text)], "id long, th long, text string"), op9.sketches(table_, 0.8), 5).count() == 0
 
 
