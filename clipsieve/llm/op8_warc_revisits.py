@@ -13,7 +13,7 @@ are fetched by an equi join on the id.
 
 A null or empty URL is a URL of its own ("") and matches only such; a null time comes before all
 others; null payloads and headers stay null. Repeated rows stay: of equal (time, id) responses the larger
-payload hash is taken. Columns beyond the named ones are not read.
+payload hash is taken, and of records equal in id and payload the headers of least JSON text. Columns beyond the named ones are not read.
 """
 
 from __future__ import annotations
@@ -60,8 +60,11 @@ def resolve(records: DataFrame, bucket_seconds: int = 6 * 3600) -> DataFrame:
     seen = seen.join(carried, (seen.curl == carried.c) & (seen.bucket == carried.b), "left").withColumn("hit", F.coalesce("inside", "before"))
     outcome = F.when(F.col("hit").isNull(), "orphan").when(F.col("validator").isNull() | (F.col("validator") == F.col("hit.validator")), "resolved").otherwise("stale")
     seen = seen.select("record_id", "curl", outcome.alias("outcome"), F.col("hit.record_id").alias("response_id"), F.col("hit.ph").alias("ph"))
-    body = r.where(full).select(F.col("record_id").alias("rid"), F.xxhash64("payload").alias("rph"), F.col("headers").alias("old"), F.col("payload"), F.col("status").alias("old_status")).dropDuplicates(["rid", "rph"])
-    own = r.where(F.col("kind") == "revisit").groupBy(F.col("record_id").alias("vid")).agg(F.first("headers").alias("new"))
+    # of repeated records, the headers of least JSON text and their status
+    rank = F.struct(F.coalesce(F.to_json("headers"), F.lit("")).alias("h"), F.coalesce("status", F.lit(-1)).alias("s"))
+    body = r.where(full).select(F.col("record_id").alias("rid"), F.xxhash64("payload").alias("rph"), "headers", "status", "payload", rank.alias("rank"))
+    body = body.groupBy("rid", "rph").agg(F.min_by("headers", "rank").alias("old"), F.min("payload").alias("payload"), F.min_by("status", "rank").alias("old_status"))
+    own = r.where(F.col("kind") == "revisit").withColumn("rank", rank).groupBy(F.col("record_id").alias("vid")).agg(F.min_by("headers", "rank").alias("new"))
     out = seen.join(own, seen.record_id.eqNullSafe(F.col("vid")), "left").join(body, (F.col("response_id") == F.col("rid")) & (F.col("ph") == F.col("rph")) & (F.col("outcome") == "resolved"), "left")
     return out.select("record_id", "curl", "outcome", "response_id", F.col("old_status").alias("status"), F.when(F.col("outcome") == "resolved", merge_headers(F.col("old"), F.col("new"))).alias("headers"), "payload")
 

@@ -19,9 +19,14 @@ MODULES = {
 }
 
 
+def load(name: str):
+    """The module of a query."""
+    return import_module(f"{__package__}.{MODULES[name]}")
+
+
 def queries() -> dict:
-    return {name: import_module(f"{__package__}.{module}").query for name, module in MODULES.items()}
+    return {name: load(name).query for name in MODULES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, module in MODULES.items() if (sql := getattr(import_module(f"{__package__}.{module}"), "ORACLE", None))}
+    return {name: sql for name in MODULES if (sql := getattr(load(name), "ORACLE", None))}

@@ -494,6 +494,10 @@ def test_op8(spark):
             else:
                 assert g.payload is None and g.headers is None
     assert op8.resolve(d.limit(0)).count() == 0
+    twice = [(900, "x.org", 1, "response", "v1", {"etag": k, "x": k}, "same") for k in ("b", "a", "c")] + [(901, "x.org", 2, "revisit", "v1", {"date": k}, None) for k in ("z", "y")]
+    again = spark.createDataFrame(twice, "record_id long, url string, s long, kind string, validator string, headers map<string,string>, payload string")
+    again = again.withColumns({"time": F.timestamp_seconds("s"), "status": F.lit(200)}).repartition(3, "headers.x")
+    assert [r.headers for r in op8.resolve(again).collect()] == [{"etag": "a", "x": "a", "date": "y"}] * 2
     assert canon[next(r[0] for r in recs if r[1] and "utm" in r[1])] == "a.com/x?a=1&b=2"
 
 
