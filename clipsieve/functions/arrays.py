@@ -71,3 +71,9 @@ def interpolate(keys: Column, n: Column) -> Column:
     low = lambda i: F.least(F.floor(pos(i)).cast("int"), k - 2)
     mid = lambda i: F.get(keys, low(i)) + (pos(i) - low(i)) * (F.get(keys, low(i) + 1) - F.get(keys, low(i)))
     return F.when(k == 1, F.transform(F.sequence(F.lit(1), n), lambda _: keys[0])).when(k == n, keys).otherwise(F.transform(F.sequence(F.lit(0), n - 1), mid))
+
+
+def half_up_indices(first: Column, step: Column, count: int, total: Column) -> Column:
+    """``count`` indices from ``first`` on, ``step`` apart, halves rounded up, kept within 0..total-1."""
+    at = lambda j: first + F.floor(j * step + 0.5)
+    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda j: F.least(F.greatest(at(j), F.lit(0)), total - 1).cast("int"))

@@ -111,3 +111,19 @@ def unfence(text: Column) -> Column:
 def with_full_stop(text: Column) -> Column:
     t = strip(text)
     return F.when(t.rlike(r"[.!?]$"), t).otherwise(F.concat(t, F.lit(".")))
+
+
+def seconds_of_name(name: Column) -> Column:
+    """Seconds since the epoch of a file name that ends in _<ISO time>.jpg; null where it does not."""
+    return F.unix_micros(F.regexp_replace(F.substring_index(name, "_", -1), r"\.jpg$", "").try_cast("timestamp")) / 1e6
+
+
+def plain_endpoint(url: Column) -> Column:
+    """Whether a URL is http or https with a host, and without credentials, query or fragment."""
+    return F.coalesce(url.rlike(r"^https?://[^/?#@\s]+(/[^?#@\s]*)?$"), F.lit(False))
+
+
+def choose_caption(native: Column, ident: Column, templates: list[str]) -> Column:
+    """The clip's own caption, else a template chosen by the first byte of the id's sha1; then stripped of camera wording."""
+    pick = (F.conv(F.substring(F.sha1(ident.cast("string")), 1, 2), 16, 10).cast("int") % len(templates)).cast("int")
+    return strip_camera_motion(F.when(strip(native) != "", native).otherwise(F.get(F.array(*map(F.lit, templates)), pick)))

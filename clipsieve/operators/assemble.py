@@ -16,7 +16,7 @@ def side_tables(meta: DataFrame, annotations: DataFrame, tracks: DataFrame | Non
     """``meta`` with vlm (a struct, null where unannotated) and traj (null where unmeasured). Hash or sort-merge joins on
     the keys; equal keys of a side table are one row by its least value."""
     keys = list(keys)
-    one = lambda df, name: df.groupBy(*keys).agg(F.first(F.struct(*[c for c in df.columns if c not in keys])).alias(name))
+    one = lambda df, name: df.groupBy(*keys).agg(F.min(F.struct(*[c for c in df.columns if c not in keys])).alias(name))
     d = meta.join(one(annotations, "vlm"), keys, "left")
     return d.join(one(tracks, "traj"), keys, "left") if tracks is not None else d
 

@@ -17,14 +17,18 @@ def priority(source, order=PRIORITY):
 
 
 def first_wins(df: DataFrame, key: str = "clip_id", source: str = "source", order=PRIORITY, exempt=(), then=()) -> tuple[DataFrame, DataFrame]:
-    """(kept, collisions): of each key the row of the best source, then by source name and ``then``; exempt sources
-    pass. A rank filter drops all but the first of each task before the shuffle on the key."""
+    """(kept, collisions): of each key the row of the best source, then by source name, ``then`` and the hash of the whole row; exempt sources
+    pass. Every other row of the key is a collision, also one that is equal to the kept row in all columns, or whose source
+    is null. A rank filter drops all but the first of each task before the shuffle on the key."""
     free = F.coalesce(F.col(source).isin(*exempt), F.lit(False)) if exempt else F.lit(False)
-    w = Window.partitionBy(key).orderBy("__p", source, *then)
-    ranked = df.where(~free).withColumn("__p", priority(F.col(source), order))
-    kept = ranked.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__p")
-    winner = ranked.groupBy(key).agg(F.min(F.struct("__p", F.col(source).alias("kept_source"), *then)).alias("w"), F.count("*").alias("n")).where("n > 1")
-    lost = ranked.join(winner, key).where(F.struct("__p", F.col(source).alias("kept_source"), *then) != F.col("w"))
+    whole = F.xxhash64(*[f.name for f in df.schema if "map<" not in f.dataType.simpleString()])
+    by = ["__p", source, *then, "__h", "__row"]  # the last tells rows apart that are equal in everything
+    w = Window.partitionBy(key).orderBy(*by)
+    ranked = df.where(~free).withColumns({"__p": priority(F.col(source), order), "__h": whole, "__row": F.monotonically_increasing_id()})
+    kept = ranked.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__p", "__h", "__row")
+    best = F.struct("__p", F.col(source).alias("kept_source"), *then, "__h", "__row")
+    winner = ranked.groupBy(F.col(key).alias("__key")).agg(F.min(best).alias("w"), F.count("*").alias("n")).where("n > 1")
+    lost = ranked.join(winner, F.col(key).eqNullSafe(F.col("__key"))).where(~best.eqNullSafe(F.col("w")))
     return (kept.unionByName(df.where(free)) if exempt else kept), lost.select(key, F.col(source).alias("dropped_source"), F.col("w.kept_source").alias("kept_source"))
 
 

@@ -109,16 +109,32 @@ def frame_camera_reasons(fov: tuple[float, float], focal_div_max: float, scale_c
     )
 
 
-def corrected(metrics: Column, corrections: Column) -> Column:
-    """Stored metrics with a source's corrections laid over them, field by field (structs of equal fields)."""
-    return F.when(corrections.isNull(), metrics).otherwise(corrections)
+def corrected(metrics: Column, corrections: Column, fields: list[str]) -> Column:
+    """Stored metrics with a source's corrections of the named fields laid over them: a field that the corrections (a struct) leave null
+    keeps its stored value, and so does every field without correction."""
+    out = metrics
+    for f in fields:
+        out = out.withField(f, F.coalesce(corrections[f], metrics[f]))
+    return F.when(corrections.isNull(), metrics).otherwise(out)
+
+
+#: A policy table of at most so many rows is broadcast.
+BROADCAST_POLICIES = 100_000
+
+
+def one_a_source(policies: DataFrame, key: str) -> DataFrame:
+    """``policies``, for a join on ``key``: broadcast if few; raises if a source has two rows, which would double its clips."""
+    n, sources = policies.agg(F.count(key), F.count_distinct(key)).first()
+    if n != sources:
+        raise ValueError("a source has more than one policy")
+    return F.broadcast(policies) if n <= BROADCAST_POLICIES else policies
 
 
 def judge(clips: DataFrame, policies: DataFrame, camera: Column | None = None, source_col: str = "source") -> DataFrame:
     """``clips`` with reject_reasons, xhigh_reasons and kept_tier (null: rejected). A source without a policy raises.
 
-    The policy table has a row a source, and is broadcast; nothing is shuffled."""
-    policies = F.broadcast(policies)
+    The policy table has a row a source, and is broadcast after a check of its size; then nothing is shuffled."""
+    policies = one_a_source(policies, "policy_source")
     j = clips.join(policies, clips[source_col] == policies["policy_source"], "left")
     checked = F.when(F.col("policy_source").isNull(), F.raise_error(F.concat(F.lit("no policy for source "), F.coalesce(F.col(source_col), F.lit("null"))))).otherwise(F.col("kept_gates"))
     cam = F.array().cast("array<struct<code:string,value:string>>") if camera is None else camera

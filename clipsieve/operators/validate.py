@@ -50,8 +50,8 @@ def clip_defects(target_fps: float, fps="fps", num_frames="num_frames", poses="p
 
 def delivery_defects(tasks: DataFrame, delivered: DataFrame, key: str = "output_clip_id", equal=("num_frames", "width", "height", "source_start_frame")) -> DataFrame:
     """(key, defects) of every task and every stray delivery: missing, stray, repeated, or the fields that differ."""
-    t = tasks.groupBy(key).agg(F.first(F.struct(*equal)).alias("want"), F.count("*").alias("tn"))
-    d = delivered.groupBy(key).agg(F.first(F.struct(*equal)).alias("got"), F.count("*").alias("dn"))
+    t = tasks.groupBy(key).agg(F.min(F.struct(*equal)).alias("want"), F.count("*").alias("tn"))
+    d = delivered.groupBy(key).agg(F.min(F.struct(*equal)).alias("got"), F.count("*").alias("dn"))
     j = t.join(d, key, "full")
     parts = [F.when(F.col("dn").isNull(), F.lit("missing")), F.when(F.col("tn").isNull(), F.lit("stray")), F.when((F.col("dn") > 1) | (F.col("tn") > 1), F.lit("repeated"))]
     parts += [F.when(F.col("want").isNotNull() & F.col("got").isNotNull() & ~F.col(f"want.{c}").eqNullSafe(F.col(f"got.{c}")), F.lit(c)) for c in equal]

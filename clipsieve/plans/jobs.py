@@ -64,3 +64,17 @@ def pack(clips: DataFrame, limit: int = 2 << 30) -> DataFrame:
     dedup.check_injective(d, "clip_id", "wds_key")
     d.agg(F.count("wds_partition")).first()  # raises here, once, rather than in several stages of the plan
     return packing.plan_shards(d, limit, "wds_partition", "clip_id", "bytes").withColumn("wds_shard", F.format_string("%s/%05d.tar", "wds_partition", "shard")).drop("lane", "shard")
+
+
+def metric_scan(clips: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Raw numbers of every clip that has a track, ungated: those of the track rounded, the stored metrics and camera medians as they are."""
+    d = clips.join(tracks, ["source", "clip_id"])
+    track = [F.round(c, n).alias(c) for c, n in (("avg_motion_m", 6), ("span_m", 4), ("path_length", 4), ("tortuosity", 4), ("max_seg", 4), ("jump_ratio", 3), ("ang_med", 4), ("ang_p95", 4), ("ang_max", 4)) if c in tracks.columns]
+    return d.select("source", "clip_id", "pose_mode", "n_frames", *track, *[F.col(f"metrics.{c}") for c in ("dover_tech", "dover_aes", "unimatch", "scene_cuts")], *[F.col(f"camera.{c}") for c in ("scale_cov", "fov_x", "fov_y", "focal_div")])
+
+
+def backfill(clips: DataFrame, measured: DataFrame, field: str, keys=("source", "clip_id")) -> DataFrame:
+    """``clips`` whose null metric ``field`` is filled from ``measured`` (keys and value, of which the least is taken); measured ones stay."""
+    one = measured.groupBy(*keys).agg(F.min("value").alias("__v"))
+    j = clips.join(one, list(keys), "left")
+    return j.withColumn("metrics", F.col("metrics").withField(field, F.coalesce(F.col(f"metrics.{field}"), F.col("__v")))).drop("__v")

@@ -11,7 +11,7 @@ from ..functions import arrays, geometry, hashing, specs, text
 from ..functions.predicates import codes
 from ..operators import assemble, calibrate, dedup, judge, lineage, packing, robust, select, semantic, split, trajectory, validate
 from ..streaming import ingest
-from .views import CLIPS_SQL, JUDGED_SQL, ORDER, POLICIES, clips, table
+from .views import CLIPS_SQL, JUDGED_SQL, ORDER, POLICIES, clips, scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,10 +93,10 @@ def camera_gates_median(spark, sf):
 
 
 def _owners(spark, sf):
-    return table(spark, sf, "documents").where(F.col("lang") == "en").select(F.col("source").alias("owner"), F.col("doc_id").alias("clip_id"), F.col("n_chars").alias("num_frames"))
+    return table(spark, sf, "documents").select(F.col("source").alias("owner"), F.col("doc_id").alias("clip_id"), F.col("n_chars").alias("num_frames"))
 
 
-_RANKED = "WITH d AS (SELECT source AS owner, doc_id AS clip_id, n_chars AS num_frames, row_number() OVER (PARTITION BY source ORDER BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, 16), doc_id) AS rn FROM documents WHERE lang = 'en') "
+_RANKED = "WITH d AS (SELECT source AS owner, doc_id AS clip_id, n_chars AS num_frames, row_number() OVER (PARTITION BY source ORDER BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, 16), doc_id) AS rn FROM documents) "
 
 
 @query(_RANKED + "SELECT owner, clip_id, CASE WHEN rn <= 5 THEN 'test' ELSE 'train' END AS side FROM d")
@@ -116,7 +116,7 @@ def window_view(spark, sf):
     return split.window_rows(split.train_test(_owners(spark, sf), 5)[0], 153)
 
 
-@query("WITH d AS (SELECT source AS owner, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, 16), doc_id) AS rn FROM documents WHERE lang = 'en' AND n_chars >= 160 AND n_chars <= 9000) SELECT owner, count(*) AS clips, count(*) FILTER (rn <= 5) AS test_clips, CAST(sum(n_chars // 153) AS BIGINT) AS windows FROM d GROUP BY 1")
+@query("WITH d AS (SELECT source AS owner, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY substr(sha256(CAST(doc_id AS VARCHAR)), 1, 16), doc_id) AS rn FROM documents WHERE n_chars >= 160 AND n_chars <= 9000) SELECT owner, count(*) AS clips, count(*) FILTER (rn <= 5) AS test_clips, CAST(sum(n_chars // 153) AS BIGINT) AS windows FROM d GROUP BY 1")
 def window_report(spark, sf):
     d = split.fits(_owners(spark, sf), 153, 160, 9000)
     n = split.train_test(d, 5)[1].groupBy("owner").agg(F.count("*").alias("test_clips"))
@@ -158,14 +158,16 @@ def payload_complete(spark, sf):
     return d.select("l_orderkey", F.array_join("missing", ",").alias("missing"), "complete")
 
 
-@query("SELECT regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g') AS key, count(DISTINCT url) AS ids FROM pages GROUP BY 1 HAVING count(DISTINCT url) > 1")
+@query("SELECT regexp_replace(p_type, '[^A-Za-z0-9_-]', '_', 'g') AS key, count(DISTINCT name) AS ids FROM (SELECT p_type, p_type || p_brand AS name FROM part) GROUP BY 1 HAVING count(DISTINCT name) > 1")
 def colliding_keys(spark, sf):
-    return dedup.colliding_keys(table(spark, sf, "pages").select("url", hashing.shard_key(F.col("url")).alias("key")), "url", "key")
+    d = table(spark, sf, "part").select(F.concat("p_type", "p_brand").alias("name"), hashing.shard_key(F.col("p_type")).alias("key"))
+    return dedup.colliding_keys(d, "name", "key")
 
 
-@query("SELECT c_custkey AS id, 'left' AS side FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT o_custkey, 'right' FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)")
+@query("SELECT c_custkey AS id, 'left' AS side FROM (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0 EXCEPT SELECT o_custkey FROM orders WHERE o_custkey % 11 <> 0) UNION ALL SELECT o_custkey, 'right' FROM (SELECT o_custkey FROM orders WHERE o_custkey % 11 <> 0 EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)")
 def member_difference(spark, sf):
-    return dedup.set_difference(table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct())
+    left, right = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct()
+    return dedup.set_difference(left.where("id % 7 <> 0"), right.where("id % 11 <> 0"))
 
 
 @query("WITH v AS (SELECT l_returnflag, list_sort(array_agg(l_extendedprice)) AS p, list_sort(array_agg(l_quantity)) AS q FROM lineitem GROUP BY 1) SELECT l_returnflag, p[1 + least(len(p) - 1, CAST(floor(0.02 * len(p)) AS BIGINT))] AS l_extendedprice_p2, p[1 + least(len(p) - 1, CAST(floor(0.75 * len(p)) AS BIGINT))] AS l_extendedprice_p75, q[1 + least(len(q) - 1, CAST(floor(0.9 * len(q)) AS BIGINT))] AS l_quantity_p90 FROM v")
@@ -281,10 +283,14 @@ def caption_word_count(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.word_count(F.col("text")).alias("words"), text.blank_separated_count(F.col("text")).alias("blanks"))
 
 
-@query(r"SELECT conv_id, turn, length(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\s{2,}', ' ', 'g'), '\s+([,.;])', '\1', 'g'), '([,;]\s*){2,}', ', ', 'g'), ' ,;.')) AS n FROM conversations WHERE NOT regexp_matches(lower(coalesce(text, '')), '(pan|tilt|zoom|dolly|track|orbit|crane|push|pull|move|camera|fly|rotat|follow|handheld|steadicam)')")
+_MOTION_SQL = "|".join(p.replace("'", "''") for p in text.CAMERA_MOTION)
+
+
+@query(r"SELECT conv_id, turn, trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, '') || tail, '(?i)" + _MOTION_SQL + r"', '', 'g'), '\s{2,}', ' ', 'g'), '\s+([,.;])', '\1', 'g'), '([,;]\s*){2,}', ', ', 'g'), ' ,;.'), E' \t\n\r\f\v') AS stripped FROM (SELECT *, (['', ' The camera pans left, zooming in.', ' A tracking shot ; handheld.'])[conv_id % 3 + 1] AS tail FROM conversations)")
 def caption_strip(spark, sf):
-    d = table(spark, sf, "conversations").where(~F.lower(F.coalesce("text", F.lit(""))).rlike("(pan|tilt|zoom|dolly|track|orbit|crane|push|pull|move|camera|fly|rotat|follow|handheld|steadicam)"))
-    return d.select("conv_id", "turn", F.length(text.strip_camera_motion(F.col("text"))).cast("long").alias("n"))
+    """Every whole text, two thirds of them with camera wording at their end, stripped of it."""
+    tail = F.get(F.array(*map(F.lit, ("", " The camera pans left, zooming in.", " A tracking shot ; handheld."))), (F.col("conv_id") % 3).cast("int"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", text.strip_camera_motion(F.concat(F.coalesce("text", F.lit("")), tail)).alias("stripped"))
 
 
 @query("""WITH RECURSIVE o AS (SELECT source, doc_id, n_chars AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
@@ -368,11 +374,12 @@ def scale_sweep(spark, sf):
     return robust.best_scale(d, "l_returnflag", "l_quantity", "far", [0.5, 1.0, 1.5, 2.0]).select("l_returnflag", "scale", F.round("residual", 6).alias("residual"))
 
 
-@query()
+@query("SELECT user_id, CASE WHEN count(*) >= 3 AND greatest(max(value) - min(value), max(event_id % 13) - min(event_id % 13), max(event_id % 7) - min(event_id % 7)) > 1e-12 THEN 2.5 END AS scale, CAST(count(*) AS INT) AS points FROM events GROUP BY 1")
 def umeyama_scale(spark, sf):
+    """The scale of tracks against turned, moved and 2.5 times larger copies of themselves."""
     e = table(spark, sf, "events").select("user_id", F.col("value").alias("sx"), (F.col("event_id") % 13).cast("double").alias("sy"), (F.col("event_id") % 7).cast("double").alias("sz"))
     p = e.select("user_id", "sx", "sy", "sz", (2.5 * F.col("sy") + 1).alias("dx"), (-2.5 * F.col("sx")).alias("dy"), (2.5 * F.col("sz")).alias("dz"))
-    return robust.scale_by_clip(p, "user_id").select("user_id", F.round("scale", 6).alias("scale"), "inliers", "points")
+    return robust.scale_by_clip(p, "user_id").select("user_id", F.round("scale", 6).alias("scale"), "points")
 
 
 @query("SELECT doc_id, round(degrees(2 * atan(1280 / (2 * f))), 6) AS fov, round(abs(f - g) / ((f + g) / 2 + 1e-8), 9) AS divergence FROM (SELECT doc_id, CAST(500 + doc_id % 900 AS DOUBLE) AS f, CAST(500 + doc_id % 700 AS DOUBLE) AS g FROM documents)")
@@ -395,12 +402,7 @@ def stream_counts(spark, sf):
     """The events as a file stream, counted in micro-batches; each batch is its own folder, so a repeat overwrites."""
     import uuid
 
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        import tempfile
-
-        where = "file://" + tempfile.mkdtemp(prefix="clipsieve-")
-    home = f"{where}/stream-{uuid.uuid4().hex}"
+    home = f"{scratch(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, sf, "events").schema
     s = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     ingest.run_once(ingest.unseen(s, "event_id"), ingest.batch_folder(f"{home}/rows"), f"{home}/state").awaitTermination()
@@ -437,8 +439,12 @@ def depth_decode(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import more  # noqa: F401  adds its queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import more  # noqa: F401
+
     return dict(ORACLES)

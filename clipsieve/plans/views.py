@@ -4,6 +4,10 @@ Metrics that documents do not have are arithmetic of their id and length, the sa
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +20,23 @@ POLICIES = {
     }
     for i, s in enumerate(SOURCES)
 }
+_LOCAL: list[str] = []
 ORDER = ("src3", "src1", "src2", "src0")
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder that all executors share, as spark.checkpoint.dir names it; on a single machine that names none, a temporary one."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where:
+        return where
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _LOCAL:
+        _LOCAL.append("file://" + tempfile.mkdtemp(prefix="clipsieve-"))
+        atexit.register(shutil.rmtree, _LOCAL[0].removeprefix("file://"), ignore_errors=True)
+    return _LOCAL[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -140,3 +140,54 @@ def npy_arrays(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["path", "shape", "data"])
 
     return files.select("path", "content").mapInPandas(load, "path string, shape array<int>, data array<double>")
+
+
+# Of each camera model of the binary format, how many numbers follow and where fx, fy, cx and cy are among them.
+CAMERA_MODELS = {0: (3, (0, 0, 1, 2)), 1: (4, (0, 1, 2, 3)), 2: (4, (0, 0, 1, 2)), 3: (5, (0, 1, 2, 3)), 4: (8, (0, 1, 2, 3))}
+
+
+def _records(files: DataFrame, read, schema: str) -> DataFrame:
+    """Rows that ``read`` makes of the bytes of each file (path, content), one file at a time; a file cut short raises."""
+    import pandas as pd
+
+    names = ["path", *(c.strip().split(" ")[0] for c in schema.split(","))]
+
+    def rows(batches):
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                yield pd.DataFrame([(path, *r) for r in read(content)], columns=names)
+
+    return files.select("path", "content").mapInPandas(rows, f"path string, {schema}")
+
+
+def camera_binary(files: DataFrame) -> DataFrame:
+    """(path, camera_id, fx, fy, cx, cy) of binary camera files given as (path, content)."""
+
+    def read(data: bytes):
+        import struct
+
+        at = 8
+        for _ in range(struct.unpack_from("<Q", data)[0]):
+            ident, model = struct.unpack_from("<ii", data, at)
+            many, where = CAMERA_MODELS.get(model, CAMERA_MODELS[1])
+            numbers = struct.unpack_from(f"<{many}d", data, at + 24)
+            at += 24 + 8 * many
+            yield (ident, *(numbers[k] for k in where))
+
+    return _records(files, read, "camera_id int, fx double, fy double, cx double, cy double")
+
+
+def image_binary(files: DataFrame) -> DataFrame:
+    """(path, name, qw, qx, qy, qz, tx, ty, tz, camera_id) of binary image files given as (path, content); their points are passed over."""
+
+    def read(data: bytes):
+        import struct
+
+        at = 8
+        for _ in range(struct.unpack_from("<Q", data)[0]):
+            pose, camera = struct.unpack_from("<7d", data, at + 4), struct.unpack_from("<i", data, at + 60)[0]
+            end = data.index(b"\0", at + 64)
+            yield (data[at + 64 : end].decode(), *pose, camera)
+            at = end + 9 + 24 * struct.unpack_from("<Q", data, end + 1)[0]
+
+    return _records(files, read, "name string, qw double, qx double, qy double, qz double, tx double, ty double, tz double, camera_id int")

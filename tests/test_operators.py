@@ -52,6 +52,18 @@ def test_split_checks(spark):
         split.eligible(d.withColumn("kept_tier", F.lit("high")), ("higher",))
 
 
+def test_dedup_ties_and_corrections(spark):
+    d = spark.createDataFrame([("k", None, 1), ("k", None, 1), ("k", None, 1), ("m", "a", 2), ("m", "a", 1), (None, "a", 1), (None, "a", 1)], "clip_id string, source string, n int")
+    kept, lost = dedup.first_wins(d.repartition(3))
+    assert kept.count() == 3 and sorted((str(r.clip_id), r.dropped_source) for r in lost.collect()) == [("None", "a"), ("k", None), ("k", None), ("m", "a")]
+    m = spark.sql("SELECT named_struct('a', 1.0D, 'b', 2.0D, 'c', 3.0D) AS m, IF(id = 0, named_struct('a', 9.0D, 'b', CAST(NULL AS DOUBLE)), NULL) AS fix FROM range(2)")
+    got = [tuple(r[0]) for r in m.select(judge.corrected(F.col("m"), F.col("fix"), ["a", "b"])).collect()]
+    assert sorted(got) == [(1.0, 2.0, 3.0), (9.0, 2.0, 3.0)]
+    twice = judge.policy_table(spark, {"s": {"min_frames": 1}})
+    with pytest.raises(ValueError):
+        judge.judge(spark.createDataFrame([("s",)], "source string"), twice.union(twice))
+
+
 def test_dedup_order(spark):
     d = spark.createDataFrame([("k", "abot", 1), ("k", "zod", 2), ("k", "dl3dv", 3), ("m", "abot", 4)], "clip_id string, source string, n int")
     kept, lost = dedup.first_wins(d)
