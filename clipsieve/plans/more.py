@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, geometry, hashing, specs, text
 from ..functions.predicates import codes
-from ..operators import annotation, assemble, calibrate, dedup, judge, lineage, packing, robust, select, split, validate
+from ..operators import annotation, assemble, calibrate, dedup, judge, lineage, packing, robust, select, sentences, split, validate
 from ..sources import manifest, sinks
 from ..sources import registry as known
 from . import jobs
@@ -191,6 +191,57 @@ def fact_contract(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(annotation.fact_errors(raw), "|").alias("errors"))
 
 
+def _told(perspective: str = "first_person", description: str = "A brick house.", dynamics: str = "Leaves fall.") -> str:
+    return f'{{"perspective_type":"{perspective}","visual_style":"photographic live action","scene_description":"{description}","scene_dynamics":"{dynamics}"}}'
+
+
+#: Facts that break the wording policy in one way, or nearly, and what they must get.
+_WORDING_CASES = [
+    (_told(), ""),
+    (_told(dynamics=""), ""),
+    ("[1]", ""),
+    (_told(dynamics="The camera moves forward."), "scene_dynamics:camera_control:camera_motion"),
+    (_told(description="The camera moves forward."), "scene_description:camera_control:camera_motion"),
+    (_told(description="A quiet music shop."), ""),
+    (_told(description="A hall with music."), "scene_description:unsupported_output:music_claim"),
+    (_told(dynamics="Flags wave. The boats are motionless."), "static_absence"),
+    (_told("third_person", "A man walks along the stone path."), "declared_subject_action|setting_followed_by_principal_action|actor_behavior_in_static_field|finite_actor_event_v8"),
+    (_told("third_person", "A man by runs of stone."), ""),
+    (_told("third_person", "A person beside wooden steps while trees sway."), ""),
+    (_told("third_person", "A man stands and another person runs."), "actor_behavior_in_static_field|finite_actor_event_v8"),
+    (_told("third_person", "A quiet room. A cyclist pedals."), "setting_followed_by_principal_action"),
+    (_told("third_person", "A background cyclist pedals."), "declared_subject_action"),
+    (_told("third_person", "A knight in armour.", "He slowly turns."), "declared_principal_pronoun"),
+    (_told("third_person", "A brick house.", "He slowly turns."), ""),
+    (_told("third_person", "A knight in armour.", "Another knight waits and he turns."), ""),
+    (_told(dynamics="A vendor stands beside a cart."), "static_posture"),
+    (_told(dynamics="A vendor stands beside a cart and waves."), ""),
+    (_told(dynamics="The light stays green."), "static_presence|static_posture_or_signal_v8"),
+    (_told(dynamics="The light stays green until it changes."), ""),
+    (_told(dynamics="Lamps remain lit; water runs."), "static_state_v7"),
+    (_told(dynamics="A person sits."), "static_actor_state"),
+    (_told(dynamics="A person stands up."), ""),
+    (_told(description="A lit gas fire under a shelf.", dynamics="Leaves fall."), "active_gas_fire"),
+    (_told(description="A lit gas fire under a shelf.", dynamics="Flames flicker."), ""),
+    (_told(description="A bow rests in the lower foreground."), "controlled_foreground_composition"),
+    (_told(description="An archer with a bow in the lower foreground."), ""),
+    (_told(description="Cars on a road where people wait."), ""),
+    (_told(description="A red car drives by."), "finite_vehicle_behavior_in_static_field"),
+    (_told(description="The shadow of a man falls on a wall."), ""),
+    (_told(description="A road where water moves near birds."), ""),
+    (_told("third_person", "A silver train travels on."), "declared_train_action_v8"),
+    (_told("third_person", "A silver train that travels on."), ""),
+    (_told(dynamics="A person holds a cup."), "static_actor_relation_v8"),
+    (_told(description="Rain streaks on glass."), "asserted_precipitation_v8"),
+]
+
+
+@query(f"SELECT doc_id, {_cases([x for _, x in _WORDING_CASES])} AS errors FROM documents")
+def caption_policies(spark, sf):
+    raw = F.get(F.array(*[F.lit(a) for a, _ in _WORDING_CASES]), (F.col("doc_id") % len(_WORDING_CASES)).cast("int"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(sentences.wording_errors(raw), "|").alias("errors"))
+
+
 @query("SELECT conv_id, turn, coalesce(role = 'user' AND 1900 + conv_id % 300 >= greatest(2000, 200 * (turn % 12)), false) AS ok FROM conversations")
 def answer_envelope(spark, sf):
     ok = annotation.acceptable_envelope(F.when(F.col("role") == "user", "stop").otherwise("length"), 1900 + F.col("conv_id") % 300, F.col("turn") % 12)

@@ -272,7 +272,7 @@ def test_facts(spark):
 def test_sentence_policies(spark):
     from clipsieve.operators.sentences import STATIC_RULES, Rule, sentence_errors
 
-    rules = [*STATIC_RULES, Rule("walks", "scene_description", r"\bwalks\b", unless_before=r"\banother\b", unless_after=r"^\s+of\b", perspective="third_person", opening=r"A\s+man\b", first_sentence=True)]
+    rules = [*STATIC_RULES, Rule("walks", "scene_description", r"\bwalks\b", unless_before=r"\banother\b", unless_next=r"\s+of\b", perspective="third_person", opening=r"A\s+man\b", first_sentence=True)]
     rows = {
         "still": {"scene_dynamics": "Leaves fall. The boats are motionless."}, "walk": {"perspective_type": "third_person", "scene_description": "A man walks on."}, "other": {"perspective_type": "third_person", "scene_description": "A man and another walks on."},
         "walks_of": {"perspective_type": "third_person", "scene_description": "A man by walks of stone."}, "first": {"perspective_type": "first_person", "scene_description": "A man walks."}, "later": {"perspective_type": "third_person", "scene_description": "A wall. A man walks."}, "none": {},
