@@ -95,9 +95,14 @@ def forget(spark: SparkSession, *tables: list[str]) -> None:
     the shuffle files of DataFrames that the caller has let go."""
     import gc
 
+    delete(spark, *tables)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def delete(spark: SparkSession, *tables: list[str]) -> None:
+    """Deletes the files of ``durable`` tables, given by their inputFiles, that nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for d in {f.rsplit("/", 1)[0] for files in tables for f in files}:
         path = jvm.org.apache.hadoop.fs.Path(d)
         path.getFileSystem(conf).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
