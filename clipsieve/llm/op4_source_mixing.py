@@ -4,8 +4,9 @@ Each source's rows, in the order of md5(id), are cut into blocks of ``block_rows
 exact rational share of the sum of the weights, and its block j is released at slot floor((j-1) / w) and due at
 ceil(j / w), over the whole run. Earliest deadline first gives every source less than one block of deviation from
 its target weight at every slot, however long the run is. If the weights' common denominator is at most
-``frame``, all lags are zero after so many slots and one table of slots serves the whole run; else the driver schedules
-each block once, without visiting empty slots, and its work and its table grow with the blocks.
+``frame``, all lags are zero after so many slots and one table of slots serves the whole run, whatever its length. Only for given weights of a larger
+denominator the driver schedules each block once, without visiting empty slots, and its work and its table grow with the blocks.
+Without given weights the targets are whole slots of a frame (``default_weights``), so that the driver's work is one frame.
 A source that has run out leaves its slots empty; the others keep their relative rates.
 
 Blocks are numbered without gathering a source: ranks within (source, first hex digits of the
@@ -48,6 +49,13 @@ def frame_counts(weights: dict, frame: int) -> dict:
     return got
 
 
+def default_weights(sizes: dict, temperature: float, frame: int) -> dict:
+    """The targets of a run without given weights: row counts to the power ``temperature``, as whole slots of a frame, one at least.
+
+    These whole numbers are the weights that the lags are held against; they are within a slot of the powers' shares, but for sources of under one."""
+    return frame_counts({s: n**temperature for s, n in sizes.items()}, frame)
+
+
 def whole_shares(weights: dict) -> tuple[dict, int]:
     """(k, n): every source's weight as exactly k of n, n the least common denominator."""
     if any(w <= 0 for w in weights.values()):
@@ -106,22 +114,22 @@ def edf_run(shares: dict, n: int, blocks: dict) -> dict:
 
 def mix(docs: DataFrame, weights: dict | None = None, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", block_rows: int = 16, frame: int | None = None, temperature: float = 0.5) -> DataFrame:
     """``docs`` with ``slot`` (the block's place in the interleaving) and ``seq`` (the row's place in
-    its block); order by both to read the mixture. Without ``weights``, a source's is its row
-    count to the power ``temperature``. Sources not named in ``weights`` raise."""
+    its block); order by both to read the mixture. Without ``weights``,
+    they are ``default_weights``. Sources not named in ``weights`` raise."""
     spark = docs.sparkSession
     docs = docs.drop("slot", "seq")
     sizes = {r[0]: r[1] for r in docs.groupBy(F.col(source_col).alias("s")).count().limit(MAX_SOURCES + 1).collect()}
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources")
+    frame = frame or max(1000, 10 * len(sizes))
     if weights is None:
-        weights = {s: round(n**temperature * 1000) for s, n in sizes.items()}
+        weights = default_weights(sizes, temperature, max(frame, len(sizes)))
     if missing := set(sizes) - set(weights):
         raise ValueError(f"no weight for {sorted(map(str, missing))[:5]}")
     schema = docs.withColumns({"slot": F.lit(0).cast("long"), "seq": F.lit(0)}).schema
     if not sizes:
         return spark.createDataFrame([], schema)
     weights = {s: w for s, w in weights.items() if s in sizes}
-    frame = frame or max(1000, 10 * len(weights))
     shares, turn = whole_shares(weights)
     blocks = {s: -(-sizes[s] // block_rows) for s in weights}
     number = {s: i for i, s in enumerate(weights)}

@@ -341,11 +341,19 @@ def test_op4_lags_against_target_weights(spark):
     assert op4.frame_counts({"a": 90, "b": 9, "c": 1}, 1000) == {"a": 900, "b": 90, "c": 10}
     sizes = {"hot": 1500, None: 300, "b": 161, "c": 37}
     d = frame(spark, [(i, "t", s) for s, n in sizes.items() for i in range(n)])
-    for weights, frames in ((None, 10), ({"hot": 90, None: 8, "b": 1.75, "c": 0.25}, 10), ({"hot": 5, None: 3, "b": 1, "c": 1}, 10)):
+    few = op4.default_weights({"hot": 10**6, **{k: 105_263 for k in range(19)}}, 0.5, 1000)
+    assert sum(few.values()) == 1000 and few["hot"] in (139, 140) and set(few.values()) - {few["hot"]} <= {45, 46}
+    for weights in ({"x": 19, **{k: 1 for k in range(19)}}, {"x": 450, **{k: 1 for k in range(50)}}):  # one hot source among many
+        shares, turn = op4.whole_shares(weights)
+        seen = Counter()
+        for t, s in enumerate(op4.edf_frame(shares, turn) * 20, 1):
+            seen[s] += 1
+            assert all(abs(seen[x] - t * w / sum(weights.values())) < 1 for x, w in weights.items())
+    for weights, frames in ((None, 100), ({"hot": 90, None: 8, "b": 1.75, "c": 0.25}, 10), ({"hot": 5, None: 3, "b": 1, "c": 1}, 10)):
         rows = op4.mix(d, weights, block_rows=1, frame=frames).collect()
         at = {r.slot: r.source for r in rows}
         assert len(at) == len(rows) == sum(sizes.values()) and Counter(r.source for r in rows) == sizes
-        w = weights or {s: round(n**0.5 * 1000) for s, n in sizes.items()}
+        w = weights or op4.default_weights(sizes, 0.5, frames)
         total, seen = sum(w.values()), Counter()
         for t in range(max(at) + 1):
             seen[at.get(t)] += t in at
