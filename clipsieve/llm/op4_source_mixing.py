@@ -32,6 +32,8 @@ from .common import table
 MAX_SOURCES = 100_000
 #: The table of slots is broadcast while it has at most this many rows; beyond it the join shuffles by block.
 BROADCAST_SLOTS = 200_000
+#: The counts of a source's buckets are at most 4,096 a source, whatever the rows; they are broadcast for up to 48 sources.
+BROADCAST_STARTS = 200_000
 
 
 def frame_counts(weights: dict, frame: int) -> dict:
@@ -151,7 +153,7 @@ def mix(docs: DataFrame, weights: dict | None = None, *, id_col: str = "doc_id",
     starts = starts.withColumn("__before", F.sum("__n").over(Window.partitionBy("__src").orderBy("__b")) - F.col("__n")).drop("__n")
     rank = F.row_number().over(Window.partitionBy(source_col, "__bucket").orderBy("__key", id_col, F.xxhash64(text_col)))
     rows = rows.withColumn("__rank", rank)
-    rows = rows.join(F.broadcast(starts) if len(sizes) * 4096 <= 2_000_000 else starts, F.col(source_col).eqNullSafe(F.col("__src")) & (F.col("__bucket") == F.col("__b")))
+    rows = rows.join(F.broadcast(starts) if len(sizes) * 4096 <= BROADCAST_STARTS else starts, F.col(source_col).eqNullSafe(F.col("__src")) & (F.col("__bucket") == F.col("__b")))
     rows = rows.withColumn("__at", F.col("__before") + F.col("__rank") - 1).withColumn("__block", F.floor(F.col("__at") / block_rows))
     ks = F.broadcast(spark.createDataFrame([(s, i, shares[s]) for s, i in number.items()], f"__ks {kind}, __ki int, __kk long"))
     rows = rows.join(ks, F.col(source_col).eqNullSafe(F.col("__ks"))).withColumn("__in", F.col("__block") % F.col("__kk"))
