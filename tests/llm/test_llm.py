@@ -615,6 +615,34 @@ def test_op10_copies_of_a_page_keep_their_text(spark):
         assert got == {k: w for k, (_, _, w) in enumerate(rows)}
 
 
+def test_op10_entropies_by_hand(spark):
+    """The unimportant branches of each host, from the definition: entropies of shapes and of texts over the distinct pages."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(260):
+        host = rng.choice("abc")
+        few, many = rng.choice(["One", "One", "One", "Two"]), sentences(rng, 4)
+        html = f"<div class='x'>{few}</div><div class='y'><p>{many}</p>{'<p>more</p>' * rng.choice([0, 0, 0, 0, 0, 1])}</div><ul class='{rng.choice('pq')}'><li>Same</li></ul>"
+        rows += [(k, f"http://{host}.org/{k}", html)] * rng.choice([1, 1, 3])
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    parsed = op10.parsed(d, "page_id", "url", "html").withColumn("host", F.regexp_extract("url", "//([a-z])", 1))
+    got = {r.host: r.low for r in op10.low_nodes(parsed).collect()}
+    seen = {h: Counter() for h in "abc"}
+    for host, html in {(u[7], h) for _, u, h in rows}:  # a page that a host has several times counts once
+        for path, shape, said in op10.parse(html)[1]:
+            seen[host][path, 0, shape] += 1
+            seen[host][path, 1, said] += 1
+    want = {}
+    for host, counts in seen.items():
+        entropy = defaultdict(list)
+        for path, kind in {(p, k) for p, k, _ in counts}:
+            n = np.array([c for (p, k, _), c in counts.items() if (p, k) == (path, kind)])
+            if n.sum() >= op10.MIN_SEEN:
+                entropy[path].append(float(-(n / n.sum() * np.log(n / n.sum())).sum() / np.log(n.sum())))
+        want[host] = sorted(p for p, e in entropy.items() if max(e) < op10.LOW)
+    assert got == {h: low for h, low in want.items() if low} and sum(map(len, got.values())) >= 6
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
