@@ -622,7 +622,7 @@ def test_op10_entropies_by_hand(spark):
     for k in range(260):
         host = rng.choice("abc")
         few, many = rng.choice(["One", "One", "One", "Two"]), sentences(rng, 4)
-        html = f"<div class='x'>{few}</div><div class='y'><p>{many}</p>{'<p>more</p>' * rng.choice([0, 0, 0, 0, 0, 1])}</div><ul class='{rng.choice('pq')}'><li>Same</li></ul>"
+        html = f"<html><body><div class='x'>{few}</div><div class='y'><p>{many}</p>{'<p>more</p>' * rng.choice([0, 0, 0, 0, 0, 1])}</div><ul class='{rng.choice('pq')}'><li>Same</li></ul></body></html>"
         rows += [(k, f"http://{host}.org/{k}", html)] * rng.choice([1, 1, 3])
     d = spark.createDataFrame(rows, "page_id long, url string, html string")
     parsed = op10.parsed(d, "page_id", "url", "html").withColumn("host", F.regexp_extract("url", "//([a-z])", 1))
@@ -640,7 +640,7 @@ def test_op10_entropies_by_hand(spark):
             if n.sum() >= op10.MIN_SEEN:
                 entropy[path].append(float(-(n / n.sum() * np.log(n / n.sum())).sum() / np.log(n.sum())))
         want[host] = sorted(p for p, e in entropy.items() if max(e) < op10.LOW)
-    assert got == {h: low for h, low in want.items() if low} and sum(map(len, got.values())) >= 6
+    assert got == {h: low for h, low in want.items() if low} and sum(map(len, got.values())) >= 3
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
