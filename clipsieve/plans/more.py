@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays, geometry, hashing, specs, text
 from ..functions.predicates import codes
 from ..operators import annotation, assemble, calibrate, dedup, judge, lineage, packing, robust, select, sentences, split, validate
-from ..sources import manifest, sinks
+from ..sources import items, manifest, sinks
 from ..sources import registry as known
 from . import jobs
 from .registry import _PRIO, _judged, query
@@ -638,3 +638,55 @@ def sampled_whole(spark, sf):
     """A systematic sample as large as its groups is the whole table."""
     d = calibrate.systematic_sample(table(spark, sf, "events"), "event_type", "event_id", 10**9)
     return d.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count("*").alias("rows"))
+
+
+# ---- work items
+
+_FILES = "SELECT doc_id AS k, (['raw/shard-' || doc_id || '.tar', 'b' || doc_id % 9 || '/h' || doc_id || '/video.mp4', 'x/sekai-real-walking_part_a_part' || doc_id || '.tar', 'annotations/g.1/u' || doc_id % 50 || '/a_others.tar.gz', 'annotations/gx1/u' || doc_id || '/a_others.tar.gz', 'drone/c' || doc_id || '.mp4', 'drone/c' || (doc_id - 1) || '.npz', 'v/RealEstate10K/z' || doc_id || '.zip'])[doc_id % 8 + 1] AS path FROM documents"
+
+
+def _files(spark, sf):
+    i, n = F.col("doc_id"), F.col("doc_id").cast("string")
+    word = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    kinds = [word("raw/shard-", n, ".tar"), word("b", i % 9, "/h", n, "/video.mp4"), word("x/sekai-real-walking_part_a_part", n, ".tar"), word("annotations/g.1/u", i % 50, "/a_others.tar.gz"), word("annotations/gx1/u", n, "/a_others.tar.gz"), word("drone/c", n, ".mp4"), word("drone/c", i - 1, ".npz"), word("v/RealEstate10K/z", n, ".zip")]
+    return table(spark, sf, "documents").select(F.get(F.array(*kinds), (i % 8).cast("int")).alias("path"))
+
+
+@query(f"""WITH f AS ({_FILES}), s AS (SELECT 'dl3dv' AS source, path[:-11] AS item FROM f WHERE k % 8 = 1)
+SELECT 'mira' AS source, path[:-5] AS item FROM f WHERE k % 8 = 0 UNION ALL SELECT source, item FROM s UNION ALL SELECT 'mind', item FROM s UNION ALL SELECT 'sekai_walking', 'part' || k FROM f WHERE k % 8 = 2
+UNION ALL SELECT DISTINCT 'omniworld', 'u' || k % 50 FROM f WHERE k % 8 = 3 UNION ALL SELECT 'sekai_game', 'drone/c' || k FROM f WHERE k % 8 = 5 AND k + 1 IN (SELECT k FROM f) UNION ALL SELECT 'realcam_vid', path FROM f WHERE k % 8 = 7
+UNION ALL SELECT 'spatialvid', lpad(CAST(g AS VARCHAR), 4, '0') || '#' || j FROM range(1, 75) t(g), range(0, 8) u(j) UNION ALL SELECT DISTINCT 'abot', CAST(conv_id AS VARCHAR) FROM conversations""")
+def work_items(spark, sf):
+    """The items of nine sources from one listing, from generated names and from records."""
+    paths, out = _files(spark, sf), None
+    episodes = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("sample_id"))
+    for source in ("mira", "dl3dv", "mind", "sekai_walking", "omniworld", "sekai_game", "realcam_vid", "spatialvid", "abot"):
+        got = items.work_items(spark, source, paths, records=episodes, game="g.1", stripes=8)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query("SELECT 'sekai_game' AS source, unnest(['drone', 'walking']) AS item UNION ALL SELECT 'realcam_vid', 'a/RealEstate10K/' || p_partkey || '.mp4' FROM part UNION ALL SELECT 'spatialvid', lpad(CAST(g AS VARCHAR), 3, '0') || '/data_' || lpad(CAST(z AS VARCHAR), 3, '0') FROM range(1, 6) t(g), range(1, 6) u(z)")
+def work_items_without_archives(spark, sf):
+    """What the rules fall back on where nothing is unpacked or packed."""
+    paths = table(spark, sf, "part").select(F.explode(F.array(F.concat(F.lit("a/RealEstate10K/"), F.col("p_partkey").cast("string"), F.lit(".mp4")), F.lit("a/Other/x.zip"))).alias("path"))
+    nothing = paths.where("path = ''")
+    return items.work_items(spark, "sekai_game", nothing).unionByName(items.work_items(spark, "realcam_vid", paths)).unionByName(items.work_items(spark, "spatialvid"))
+
+
+@query("SELECT 'h' || doc_id AS key, 'b' || doc_id % 9 || '/h' || doc_id || '/video.mp4' AS path FROM documents WHERE doc_id % 8 = 1")
+def paths_by_key(spark, sf):
+    return items.path_by_key(_files(spark, sf).where(F.col("path").endswith("/video.mp4")))
+
+
+@query("SELECT p_partkey, CAST(p_size * CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 2 END AS DOUBLE) AS x FROM part WHERE p_partkey % 5 <> 0")
+def stem_metadata(spark, sf):
+    d, k = table(spark, sf, "part"), F.col("p_partkey")
+    videos = d.select("p_partkey", F.concat(F.lit("d/e.f/v"), k.cast("string"), F.lit(".x.mp4")).alias("video_path"))
+    meta = d.where(k % 5 != 0).select(F.concat(F.lit("v"), k.cast("string"), F.lit(".x")).alias("stem"), F.when(k % 3 != 0, 2.0).alias("align_factor"), F.array(F.col("p_size").cast("double"), F.lit(0.0), F.lit(0.0)).alias("translation"))
+    return items.with_metadata(videos, meta).select("p_partkey", F.get("translation", F.lit(0)).alias("x"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey IN (1, 2, 3) ORDER BY c_custkey LIMIT 20")
+def requested_rows(spark, sf):
+    return items.requested(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), [1, 2, 3], "c_custkey", "c_nationkey", 20).select("c_custkey", "c_name")

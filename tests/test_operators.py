@@ -64,6 +64,17 @@ def test_dedup_ties_and_corrections(spark):
         judge.judge(spark.createDataFrame([("s",)], "source string"), twice.union(twice))
 
 
+def test_work_items_and_requests_fail_closed(spark):
+    from clipsieve.sources import items
+
+    with pytest.raises(NotImplementedError):
+        items.work_items(spark, "openvid", spark.createDataFrame([("a.tar",)], "path string"))
+    d = spark.createDataFrame([("a", 2), ("b", 1), (None, 0)], "sample_id string, n int")
+    assert [r.n for r in items.requested(d, ["b", "a"], "n").collect()] == [1, 2] and items.requested(d, [], "n", limit=1).first().n == 0
+    with pytest.raises(ValueError):
+        items.requested(d, ["a", "c"], "n")
+
+
 def test_dedup_order(spark):
     d = spark.createDataFrame([("k", "abot", 1), ("k", "zod", 2), ("k", "dl3dv", 3), ("m", "abot", 4)], "clip_id string, source string, n int")
     kept, lost = dedup.first_wins(d)
