@@ -82,6 +82,26 @@ def acceptable_envelope(finish: Column, prompt_tokens: Column, frames: Column) -
     return F.coalesce((finish == "stop") & (prompt_tokens >= F.greatest(F.lit(2000), 200 * frames)), F.lit(False))
 
 
+def choice_text(raw: Column) -> Column:
+    """The text of a response's first choice: its content if that is a string, else the texts of its text parts, joined. Null where
+    there is no choice or its content is neither."""
+    at = "$.choices[0].message.content"
+    v = F.try_parse_json(raw)
+    kind = _kind(v, at)
+    parts = F.from_json(F.get_json_object(raw, at), "array<struct<type:string,text:string>>")
+    texts = F.transform(F.filter(parts, lambda p: p["type"].isin("text", "output_text")), lambda p: F.coalesce(p["text"], F.lit("")))
+    return F.when(kind == "STRING", F.try_variant_get(v, at, "string")).when(kind.startswith("ARRAY"), F.array_join(F.coalesce(texts, F.array().cast("array<string>")), ""))
+
+
+def feedback(errors: Column, previous: Column, before: str, after: str) -> Column:
+    """The messages (role, content) that ask for a rejected answer anew: the answer itself if there is one, then ``before``, the errors
+    joined by semicolons, and ``after``. None without errors."""
+    say = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    ask = say("user", F.concat(F.lit(before), F.array_join(errors, "; "), F.lit(after)))
+    none = F.array().cast("array<struct<role:string,content:string>>")
+    return F.when(F.size(errors) > 0, F.when(previous.isNotNull(), F.array(say("assistant", previous), ask)).otherwise(F.array(ask))).otherwise(none)
+
+
 def fact_errors(raw: Column, guards: dict[str, str] | None = None) -> Column:
     """Ordered errors of the four-field contract: exact keys, the two enums, then for each text its type, length, outer
     white space and control characters, English letters, and the names of the guards (name to pattern) that it matches.

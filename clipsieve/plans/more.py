@@ -690,3 +690,21 @@ def stem_metadata(spark, sf):
 @query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey IN (1, 2, 3) ORDER BY c_custkey LIMIT 20")
 def requested_rows(spark, sf):
     return items.requested(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), [1, 2, 3], "c_custkey", "c_nationkey", 20).select("c_custkey", "c_name")
+
+
+# ---- answers
+
+@query("SELECT conv_id, turn, CASE conv_id % 4 WHEN 0 THEN role WHEN 1 THEN role || 'x' WHEN 2 THEN '' END AS said FROM conversations")
+def answer_text(spark, sf):
+    """Contents that are a string, parts of which some are text, no parts, and neither."""
+    r = F.col("role")
+    content = F.get(F.array(F.concat(F.lit('"'), r, F.lit('"')), F.concat(F.lit('[{"type":"text","text":"'), r, F.lit('"},{"type":"image","text":"no"},{"type":"output_text","text":"x"},{"type":"text"}]')), F.lit("[]"), F.lit("5")), (F.col("conv_id") % 4).cast("int"))
+    raw = F.concat(F.lit('{"choices":[{"message":{"content":'), content, F.lit("}},{}]}"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", annotation.choice_text(raw).alias("said"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN '' WHEN conv_id % 2 = 0 THEN 'assistant:' || role || '|user:Again: a' || CASE WHEN turn % 3 = 2 THEN '; b' ELSE '' END || '.' ELSE 'user:Again: a' || CASE WHEN turn % 3 = 2 THEN '; b' ELSE '' END || '.' END AS said FROM conversations")
+def retry_messages(spark, sf):
+    errors = F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (F.col("turn") % 3).cast("int"))
+    m = annotation.feedback(errors, F.when(F.col("conv_id") % 2 == 0, F.col("role")), "Again: ", ".")
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.array_join(F.transform(m, lambda x: F.concat_ws(":", x["role"], x["content"])), "|").alias("said"))
