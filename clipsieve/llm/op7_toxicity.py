@@ -106,7 +106,7 @@ def shared_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, float]:
 
     def run(batches):
         total = np.zeros((16, 64**4 // 16), np.uint32)  # a task reads a few input blocks
-        for _, data, offs in slices(batches, "text", 2 << 20):
+        for _, data, offs in slices(batches, "text", 1 << 20):
             s, at, end = symbols(data, offs)
             if len(s):
                 key = grams(s, 4)[inside(s, at, end)]
@@ -313,7 +313,7 @@ def score(docs: DataFrame, model, text_col: str = "text", out: str = "score") ->
 
     def run(batches):
         scorer = Scorer(tables.value)
-        for batch, data, offs in slices(batches, "__text", 1 << 20):
+        for batch, data, offs in slices(batches, "__text", 1 << 19):
             got = curve(scorer.features(data, offs), fitted)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(got)], names=[*names, out])
 
