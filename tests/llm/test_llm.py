@@ -643,6 +643,22 @@ def test_op10_entropies_by_hand(spark):
     assert got == {h: low for h, low in want.items() if low} and sum(map(len, got.values())) >= 3
 
 
+def test_op10_tree_holds_and_judges_every_element(spark):
+    _, elements, inner = op10.parse(PAGE)
+    assert (len(elements), len(inner)) == (17, 8)  # html head body header p nav ul 2 li, cookie, advert, form p, comments p, aside footer; main header h1 2 p ul 2 li
+    rng = random.Random(7)
+    t = [sentences(rng, 30) for _ in range(12)]
+    body = "<html><body>{}</body></html>"
+    rows = [("a", body.format(f"<nav>{x[:9]}</nav><article><h2>Method</h2><p>{x}</p><div class='z'>Our other <b>papers</b></div></article>"), f"Method\n{x}") for x in t]
+    rows += [("b", f"<div class='z'><p>Our other papers</p></div><p>{x}</p>", x) for x in t]  # without the optional root tags
+    rows += [("c", body.format(f"<main><p class='d'>{k}</p><div><p>{t[0]}</p></div></main>"), f"{k}\n{t[0]}") for k in range(12)]  # near copies
+    rows += [("d", body.format(f"<div>{x}</div><article><div class='z'>Our other papers</div><p>{t[0]}</p></article>"), f"Our other papers\n{t[0]}") for x in t]  # one article
+    rows += [("e", body.format(f"<article><table class='z'><tr><th>Size<td>{x}</table></article>"), f"Size\n{x}") for x in t]
+    rows += [("f", body.format(f"<article><p>{x}</p><div class='z'>Our other papers</div></article>"), f"{x}\nOur other papers") for x in t[:7]]  # too few
+    d = spark.createDataFrame([(k, f"http://{h}.com/{k}", x) for k, (h, x, _) in enumerate(rows)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in op10.main_text(d).collect()} == {k: w for k, (_, _, w) in enumerate(rows)}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
