@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import medians
+
 
 def similarity(src: np.ndarray, dst: np.ndarray, with_scale: bool = True):
     """(scale, rotation, translation) of the least-squares similarity from src to dst points."""
@@ -88,5 +90,5 @@ def fill_gaps(frames: DataFrame, key: str, order: str, value: str, fallback) ->
 def best_scale(samples: DataFrame, key: str, near: str, far: str, scales) -> DataFrame:
     """(key, scale, residual): the multiplier of least median |s near - far| / far. The scales are a fixed list in an array."""
     d = samples.withColumn("s", F.explode(F.array(*map(F.lit, scales))))
-    r = d.groupBy(key, "s").agg(F.median(F.abs(F.col("s") * F.col(near) - F.col(far)) / F.col(far)).alias("residual"))
+    r = medians(d.select(key, "s", (F.abs(F.col("s") * F.col(near) - F.col(far)) / F.col(far)).alias("residual")), [key, "s"], "residual", "residual")
     return r.groupBy(key).agg(F.min_by("s", F.struct("residual", "s")).alias("scale"), F.min("residual").alias("residual"))
