@@ -57,3 +57,28 @@ def medians(rows: DataFrame, keys: list[str], value: str, name: str = "median")
     at = [F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)]
     a, b = (F.max(F.when(place(r), F.col("v"))) for r in at)
     return c.groupBy(*keys).agg(a.alias("__a"), b.alias("__b"), F.max("total").alias("n")).select(*keys, F.when(F.col("__a") == F.col("__b"), F.col("__a")).otherwise(0.5 * F.col("__a") + 0.5 * F.col("__b")).alias(name), "n")
+
+
+def tiles(rows: DataFrame, key: str, first: str, second: str, parts: int, name: str) -> DataFrame:
+    """``key``, ``first``, ``second`` and the tile (as ntile over key by first and second) of each row, none of them null but the key. Only the rows
+    whose pair of values holds a bound between tiles are counted and dealt out anew; they are equal in both, so which copy goes where is all one."""
+    d = rows.select(key, first, second)
+    total = F.col("total")
+    size = lambda t: F.lit(t) * F.floor(total / parts) + F.least(F.lit(t), total % parts)  # noqa: E731  rows of the first t tiles
+    c = counted(d, [key], first, [second], [t / parts for t in range(1, parts)])
+    bound = reduce(lambda a, b: a | b, [place(size(t)) for t in range(1, parts)])
+    share = lambda t: F.least(F.col("upto"), size(t)) - F.greatest(F.col("upto") - F.col("n"), size(t - 1))
+    pieces = F.filter(F.array(*[F.struct(F.lit(t).alias("tile"), share(t).cast("long").alias("copies")) for t in range(1, parts + 1)]), lambda x: x["copies"] > 0)
+    edges = few(c.where(bound).select(F.col(key).alias("__key"), F.struct(F.col("v").alias("a"), F.col(second).alias("b"), pieces.alias("p")).alias("__e")).groupBy("__key").agg(F.sort_array(F.collect_list("__e")).alias("__e")))
+    edge = lambda i: F.get("__e", F.lit(i))
+    pair = lambda a, b: F.struct(a.cast("double").alias("a"), b.alias("b"))
+    here, there = pair(F.col(first), F.col(second)), [pair(edge(i)["a"], edge(i)["b"]) for i in range(parts - 1)]
+    on = reduce(lambda a, b: a | b, [edge(i).isNotNull() & (here == t) for i, t in enumerate(there)])
+    tile = F.greatest(F.lit(1), *[F.when(edge(i).isNotNull() & (here > t), F.element_at(edge(i)["p"], -1)["tile"]) for i, t in enumerate(there)])
+    plain = d.join(edges, F.col(key).eqNullSafe(F.col("__key")), "left").where(~F.coalesce(on, F.lit(False))).select(key, first, second, tile.alias(name))
+    cut = edges.select("__key", F.explode("__e").alias("e")).select("__key", "e", F.explode("e.p").alias("p"))
+    # copies in two steps, so that no array has more than 65,536 entries for 4 billion of them
+    cut = cut.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.copies") - 1, F.lit(65_536).cast("long"))))
+    cut = cut.withColumn("s", F.explode(F.sequence(F.col("s"), F.least(F.col("p.copies"), F.col("s") + 65_536) - 1)))
+    kind = d.schema[first].dataType
+    return plain.unionByName(cut.select(F.col("__key").alias(key), F.col("e.a").cast(kind).alias(first), F.col("e.b").alias(second), F.col("p.tile").alias(name)))

@@ -36,3 +36,23 @@ def test_best_scale_holds_no_group(spark):
     r = out.first()
     want = statistics.median(abs(1.5 * x.near - x.far) / x.far for x in d.collect())
     assert r.scale == 1.5 and math.isclose(r.residual, want, rel_tol=1e-12)
+
+
+def test_collisions_whatever_the_order_of_rows(spark):
+    """Rows come in another order each time that Spark computes them."""
+    import pandas as pd
+
+    from clipsieve.operators import dedup
+
+    def shuffled(batches):
+        import os
+
+        for pdf in batches:
+            yield pdf.sample(frac=1, random_state=int.from_bytes(os.urandom(4), "little"))
+
+    rows = pd.DataFrame({"clip_id": [f"c{i % 40}" for i in range(400)], "source": [f"s{i % 3}" for i in range(400)]})
+    d = spark.createDataFrame(rows).repartition(4).mapInPandas(shuffled, "clip_id string, source string")
+    kept, lost = dedup.first_wins(d, order=("s1", "s0"))
+    assert kept.count() == 40 and {r.source for r in kept.collect()} == {"s1"}
+    assert lost.count() == 360 and {r.kept_source for r in lost.collect()} == {"s1"}
+    assert lost.where("dropped_source = 's1'").count() == sum(i % 3 == 1 for i in range(400)) - 40
