@@ -91,8 +91,11 @@ def strip_camera_motion(text: Column) -> Column:
 
 
 def forbidden_wording(text: Column) -> Column:
-    """Names of the forbidden patterns that a caption has, in their order."""
-    return F.filter(F.array(*[F.when(text.rlike("(?i)" + p), F.lit(n)) for n, p in FORBIDDEN_WORDING.items()]), lambda n: n.isNotNull())
+    """Names of the forbidden patterns that a caption has, in their order. All of them begin at a word, so that one pattern of all
+    tells first whether there is any; most captions have none."""
+    some = r"(?i)\b(?:" + "|".join(p.removeprefix(r"\b") for p in FORBIDDEN_WORDING.values()) + ")"
+    named = F.filter(F.array(*[F.when(text.rlike("(?i)" + p), F.lit(n)) for n, p in FORBIDDEN_WORDING.items()]), lambda n: n.isNotNull())
+    return F.when(text.rlike(some), named).otherwise(F.array().cast("array<string>"))
 
 
 def drop_sentences(text: Column, words: list[str]) -> Column:

@@ -25,29 +25,50 @@ def _kind(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
+def _bound(value: Column, then) -> Column:
+    """``then`` of a column that is computed once a row, however often it is used."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _kinds(v: Column, at: str, names) -> Column:
+    return F.struct(*[_kind(v, f"{at}.{k}").alias(k) for k in names])
+
+
+def _read(raw: Column, then) -> Column:
+    """``then`` of a struct of a JSON text, parsed once: v, typed, and the sorted keys of the whole (keys) and of its transition (tkeys)."""
+    keys = lambda x: F.array_sort(F.json_object_keys(x))
+    parsed = lambda js: F.struct(F.try_parse_json(js).alias("v"), F.from_json(js, SCHEMA).alias("typed"), keys(js).alias("keys"), keys(F.get_json_object(js, "$.scene_transition")).alias("tkeys"))
+    return _bound(unfence(raw), lambda js: _bound(parsed(js), then))
+
+
 def response_errors(raw: Column, duration: Column) -> Column:
     """Ordered error codes of a JSON text under the six-field contract; empty accepts. Nothing is repaired."""
-    v = F.try_parse_json(unfence(raw))
-    typed = F.from_json(unfence(raw), SCHEMA)
+    return _read(raw, lambda r: _response_errors(r, duration))
+
+
+def _response_errors(r: Column, duration: Column) -> Column:
+    stamps = F.transform(r["typed"]["scene_transition"]["timestamps_sec"], lambda x: x.try_cast("double"))
+    names = F.struct(F.schema_of_variant(r["v"]).alias("whole"), _kinds(r["v"], "$", TOP_KEYS).alias("top"), _kinds(r["v"], "$.scene_transition", TRANSITION_KEYS).alias("tr"), stamps.alias("stamps"))
+    return _bound(names, lambda k: F.when(~F.coalesce(k["whole"].startswith("OBJECT"), F.lit(False)), F.array(F.lit("not_object"))).otherwise(_object_errors(r, k, duration)))
+
+
+def _object_errors(r: Column, k: Column, duration: Column) -> Column:
+    typed, kinds, tkinds, stamps = r["typed"], k["top"], k["tr"], k["stamps"]
     whole = lambda t: F.coalesce(t == "BIGINT", F.lit(False))
     number = lambda t: F.coalesce((t == "BIGINT") | t.startswith("DECIMAL") | (t == "DOUBLE"), F.lit(False))
     text = lambda t: F.coalesce(t == "STRING", F.lit(False))
     is_list = lambda t: F.coalesce(t.startswith("ARRAY"), F.lit(False))
-    tr, stamps = typed["scene_transition"], F.transform(typed["scene_transition"]["timestamps_sec"], lambda x: x.try_cast("double"))
+    tr = typed["scene_transition"]
     count, label, evidence = tr["count"].try_cast("int"), tr["label"], tr["evidence"]
-    kinds = {k: _kind(v, f"$.{k}") for k in TOP_KEYS}
-    tkinds = {k: _kind(v, f"$.scene_transition.{k}") for k in TRANSITION_KEYS}
-    keys = lambda x, names: F.coalesce(F.array_sort(F.json_object_keys(x)) == F.array(*map(F.lit, sorted(names))), F.lit(False))
-    js = unfence(raw)
-    tr_ok = keys(F.get_json_object(js, "$.scene_transition"), TRANSITION_KEYS)
+    same = lambda x, names: F.coalesce(x == F.array(*map(F.lit, sorted(names))), F.lit(False))
+    tr_ok = same(r["tkeys"], TRANSITION_KEYS)
     flags = typed["reject_flags"]
     words = word_count(typed["dense_caption"])
     stamps_ok = F.coalesce(is_list(tkinds["timestamps_sec"]) & F.forall(stamps, lambda x: x.isNotNull()), F.lit(False))
     in_order = F.coalesce((stamps == F.array_sort(stamps)) & F.forall(stamps, lambda x: (x >= 0) & (x <= duration + 1)), F.lit(False))
     none_ok = (count == 0) & (F.size(stamps) == 0) & (evidence == "")
     parts = [
-        ("not_object", ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))),
-        ("keys", ~keys(js, TOP_KEYS)),
+        ("keys", ~same(r["keys"], TOP_KEYS)),
         ("density", ~(number(kinds["vlm_entity_density"]) & typed["vlm_entity_density"].try_cast("double").isin(1.0, 2.0, 3.0))),
         ("quality", ~(number(kinds["vlm_quality"]) & typed["vlm_quality"].try_cast("double").isin(1.0, 2.0, 3.0, 4.0, 5.0))),
         ("flags", ~(is_list(kinds["reject_flags"]) & F.coalesce((F.size(F.array_distinct(flags)) == F.size(flags)) & (F.size(F.array_except(flags, F.array(*map(F.lit, REJECT_FLAGS)))) == 0), F.lit(False)))),
@@ -65,16 +86,17 @@ def response_errors(raw: Column, duration: Column) -> Column:
         ("caption_words", text(kinds["dense_caption"]) & ~words.between(60, 150)),
         ("caption_wording", text(kinds["dense_caption"]) & (F.size(forbidden_wording(F.coalesce(typed["dense_caption"], F.lit("")))) > 0)),
     ]
-    found = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in parts]), lambda n: n.isNotNull())
-    return F.when(F.array_contains(found, "not_object"), F.array(F.lit("not_object"))).otherwise(found)
+    return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in parts]), lambda n: n.isNotNull())
 
 
 def first_violation(raw: Column, duration: Column) -> Column:
     """The raising variant: the first error code, counting words by white space; null accepts."""
-    caption = F.from_json(unfence(raw), SCHEMA)["dense_caption"]
-    few = F.when(~blank_separated_count(caption).between(60, 150), F.lit("caption_words"))
-    rest = F.filter(response_errors(raw, duration), lambda c: c != "caption_words")
-    return F.coalesce(F.get(rest, F.lit(0)), few)
+
+    def found(r: Column) -> Column:
+        few = F.when(~blank_separated_count(r["typed"]["dense_caption"]).between(60, 150), F.lit("caption_words"))
+        return F.coalesce(F.get(F.filter(_response_errors(r, duration), lambda c: c != "caption_words"), F.lit(0)), few)
+
+    return _read(raw, found)
 
 
 def acceptable_envelope(finish: Column, prompt_tokens: Column, frames: Column) -> Column:
