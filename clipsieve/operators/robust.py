@@ -80,8 +80,9 @@ def fill_gaps(frames: DataFrame, key: str, order: str, value: str, fallback) ->
     mid = frames.groupBy(key).agg(F.median(F.when(F.col(value) > 0, F.col(value))).alias("__mid"))
     d = frames.join(mid, key, "left")
     good = F.when(F.col(value).between(0.2 * F.col("__mid"), 5 * F.col("__mid")), F.struct(F.col(order).alias("o"), F.col(value).alias("v")))
-    w = Window.partitionBy(key).orderBy(order)
-    d = d.withColumn("__a", F.last(good, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__b", F.first(good, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    # both ways a running last: a frame that begins at the row is folded anew for each row, which is quadratic in a track
+    upto = lambda o: Window.partitionBy(key).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__a", F.last(good, True).over(upto(F.col(order)))).withColumn("__b", F.last(good, True).over(upto(F.col(order).desc())))
     span = F.col("__b.o") - F.col("__a.o")
     line = F.when(span > 0, F.col("__a.v") + (F.col("__b.v") - F.col("__a.v")) * (F.col(order) - F.col("__a.o")) / span).otherwise(F.col("__a.v"))
     return d.withColumn(value, F.coalesce(line, "__a.v", "__b.v", fallback)).drop("__mid", "__a", "__b")

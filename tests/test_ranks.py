@@ -56,3 +56,11 @@ def test_collisions_whatever_the_order_of_rows(spark):
     assert kept.count() == 40 and {r.source for r in kept.collect()} == {"s1"}
     assert lost.count() == 360 and {r.kept_source for r in lost.collect()} == {"s1"}
     assert lost.where("dropped_source = 's1'").count() == sum(i % 3 == 1 for i in range(400)) - 40
+
+
+def test_gaps_are_filled_in_one_pass(spark):
+    """No frame begins at the row, which Spark folds anew for each row of a track."""
+    d = spark.createDataFrame([("a", 0, -1.0), ("a", 1, 1.0), ("a", 2, None), ("a", 3, 900.0), ("a", 5, 3.0), ("a", 6, 0.0), ("b", 0, None)], "k string, at int, v double")
+    out = robust.fill_gaps(d, "k", "at", "v", F.lit(7.0))
+    assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted((r.k, r["at"], r.v) for r in out.collect()) == [("a", 0, 1.0), ("a", 1, 1.0), ("a", 2, 1.5), ("a", 3, 2.0), ("a", 5, 3.0), ("a", 6, 3.0), ("b", 0, 7.0)]
