@@ -70,12 +70,13 @@ def tiles(rows: DataFrame, key: str, first: str, second: str, parts: int, name:
     share = lambda t: F.least(F.col("upto"), size(t)) - F.greatest(F.col("upto") - F.col("n"), size(t - 1))
     pieces = F.filter(F.array(*[F.struct(F.lit(t).alias("tile"), share(t).cast("long").alias("copies")) for t in range(1, parts + 1)]), lambda x: x["copies"] > 0)
     edges = few(c.where(bound).select(F.col(key).alias("__key"), F.struct(F.col("v").alias("a"), F.col(second).alias("b"), pieces.alias("p")).alias("__e")).groupBy("__key").agg(F.sort_array(F.collect_list("__e")).alias("__e")))
+    # bounds as plain columns, which are compared a row at a time without building structs
     edge = lambda i: F.get("__e", F.lit(i))
-    pair = lambda a, b: F.struct(a.cast("double").alias("a"), b.alias("b"))
-    here, there = pair(F.col(first), F.col(second)), [pair(edge(i)["a"], edge(i)["b"]) for i in range(parts - 1)]
-    on = reduce(lambda a, b: a | b, [edge(i).isNotNull() & (here == t) for i, t in enumerate(there)])
-    tile = F.greatest(F.lit(1), *[F.when(edge(i).isNotNull() & (here > t), F.element_at(edge(i)["p"], -1)["tile"]) for i, t in enumerate(there)])
-    plain = d.join(edges, F.col(key).eqNullSafe(F.col("__key")), "left").where(~F.coalesce(on, F.lit(False))).select(key, first, second, tile.alias(name))
+    flat = few(edges.select("__key", *[c for i in range(parts - 1) for c in (edge(i)["a"].alias(f"__a{i}"), edge(i)["b"].alias(f"__b{i}"), F.element_at(edge(i)["p"], -1)["tile"].alias(f"__t{i}"))]))
+    x, y = F.col(first).cast("double"), F.col(second)
+    on = reduce(lambda a, b: a | b, [(x == F.col(f"__a{i}")) & (y == F.col(f"__b{i}")) for i in range(parts - 1)])
+    tile = F.greatest(F.lit(1), *[F.when((x > F.col(f"__a{i}")) | ((x == F.col(f"__a{i}")) & (y > F.col(f"__b{i}"))), F.col(f"__t{i}")) for i in range(parts - 1)])
+    plain = d.join(flat, F.col(key).eqNullSafe(F.col("__key")), "left").where(~F.coalesce(on, F.lit(False))).select(key, first, second, tile.alias(name))
     cut = edges.select("__key", F.explode("__e").alias("e")).select("__key", "e", F.explode("e.p").alias("p"))
     # copies in two steps, so that no array has more than 65,536 entries for 4 billion of them
     cut = cut.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.copies") - 1, F.lit(65_536).cast("long"))))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import all_reasons, reason
 from ..functions.specs import on_spec
+from .ranks import medians, tiles
 
 
 def _finite(v: Column) -> Column:
@@ -91,11 +92,11 @@ def pose_convention(points: DataFrame, key: str, ours=("ax", "ay", "az"), other=
 
 
 def decile_ratios(samples: DataFrame, key: str, ours: str, truth: str) -> DataFrame:
-    """(key, decile, n, ratio): median ours/truth in each tenth of truth; tenths from counts of ranks within the key."""
+    """(key, decile, n, ratio): median ours/truth in each tenth of truth; tenths from counts of ranks within the key, of which no task
+    sorts or holds all rows."""
     d = samples.where((F.col(truth) > 0) & F.col(ours).isNotNull())
-    w = Window.partitionBy(key).orderBy(truth, ours)
-    d = d.withColumn("decile", F.ntile(10).over(w))
-    return d.groupBy(key, "decile").agg(F.count("*").alias("n"), F.median(F.col(ours) / F.col(truth)).alias("ratio"))
+    d = tiles(d, key, truth, ours, 10, "decile").withColumn("ratio", F.col(ours) / F.col(truth))
+    return medians(d, [key, "decile"], "ratio", "ratio").select(key, "decile", "n", "ratio")
 
 
 def disparity_fit(samples: DataFrame, key: str, ours: str, truth: str) -> DataFrame:

@@ -64,3 +64,14 @@ def test_gaps_are_filled_in_one_pass(spark):
     out = robust.fill_gaps(d, "k", "at", "v", F.lit(7.0))
     assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
     assert sorted((r.k, r["at"], r.v) for r in out.collect()) == [("a", 0, 1.0), ("a", 1, 1.0), ("a", 2, 1.5), ("a", 3, 2.0), ("a", 5, 3.0), ("a", 6, 3.0), ("b", 0, 7.0)]
+
+
+def test_tiles_of_large_groups(spark):
+    random.seed(6)
+    rows = [(k, float(random.randrange(m)), random.randrange(4)) for k, n, m in (("a", 30_011, 10**6), ("b", 20_007, 7), (None, 12_345, 1), ("c", 17, 5), ("d", 3, 2)) for _ in range(n)]
+    d = spark.createDataFrame(rows, "k string, a double, b int").repartition(3)
+    got = sorted(((str(r.k), r.a, r.b, r.t) for r in ranks.tiles(d, "k", "a", "b", 10, "t").collect()))
+    from pyspark.sql import Window
+
+    want = d.withColumn("t", F.ntile(10).over(Window.partitionBy("k").orderBy("a", "b")))
+    assert got == sorted((str(r.k), r.a, r.b, r.t) for r in want.collect())
