@@ -146,16 +146,20 @@ def npy_arrays(files: DataFrame) -> DataFrame:
 CAMERA_MODELS = {0: (3, (0, 0, 1, 2)), 1: (4, (0, 1, 2, 3)), 2: (4, (0, 0, 1, 2)), 3: (5, (0, 1, 2, 3)), 4: (8, (0, 1, 2, 3))}
 
 
-def _records(files: DataFrame, read, schema: str) -> DataFrame:
-    """Rows that ``read`` makes of the bytes of each file (path, content), one file at a time; a file cut short raises."""
+def _records(files: DataFrame, read, schema: str, most: int = 10_000) -> DataFrame:
+    """Rows that ``read`` makes of the bytes of each file (path, content), given on in frames of at most ``most`` rows, of many small files or of
+    a part of a large one; a file cut short raises."""
+    import itertools
+
     import pandas as pd
 
     names = ["path", *(c.strip().split(" ")[0] for c in schema.split(","))]
 
     def rows(batches):
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                yield pd.DataFrame([(path, *r) for r in read(content)], columns=names)
+            found = ((path, *r) for path, content in zip(pdf["path"], pdf["content"], strict=True) for r in read(content))
+            while part := list(itertools.islice(found, most)):
+                yield pd.DataFrame(part, columns=names)
 
     return files.select("path", "content").mapInPandas(rows, f"path string, {schema}")
 
