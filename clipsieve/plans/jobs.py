@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import shard_key
 from ..functions.text import outdoor_class
 from ..operators import calibrate, dedup, packing, select, semantic, split
+from .views import stored
 
 
 def build_recipe(meta: DataFrame, tiers=split.TIERS, per_owner: int = 100, repeats: dict[str, int] | None = None, owners=None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -15,7 +16,7 @@ def build_recipe(meta: DataFrame, tiers=split.TIERS, per_owner: int = 100, repea
     if owners:
         split.check_owners(meta, owners)
         meta = meta.where(F.col("owner").isin(*owners))
-    d = split.eligible(meta, tiers).select("owner", "clip_id", "kept_tier")
+    d = stored(split.eligible(meta, tiers).select("owner", "clip_id", "kept_tier"))
     if repeats:
         split.check_owners(d, list(repeats))
     train, test = split.train_test(d, per_owner)
@@ -26,7 +27,7 @@ def build_recipe(meta: DataFrame, tiers=split.TIERS, per_owner: int = 100, repea
 
 def build_window_view(meta: DataFrame, window: int, tiers=split.TIERS, per_owner: int = 100, min_frames: int = 0, max_frames: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(train, test) windows; the split is by clip, so no clip is on both sides."""
-    d = split.fits(split.eligible(meta, tiers), window, min_frames, max_frames)
+    d = stored(split.fits(split.eligible(meta, tiers), window, min_frames, max_frames).select("owner", "clip_id", "num_frames", "kept_tier"))
     train, test = split.train_test(d, per_owner)
     split.check_split(train, test)
     cols = ["owner", "clip_id", "start_frame", "num_frames", "kept_tier"]

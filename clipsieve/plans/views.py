@@ -7,6 +7,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,13 @@ def scratch(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: what it took to make it is done once, whatever reads it how often."""
+    path = f"{scratch(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

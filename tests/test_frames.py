@@ -31,3 +31,24 @@ def test_frames_of_binary_files():
     assert [len(x) for x in large] == [10_000, 10_000, 5_000] * 2 and large[2]["camera_id"].iloc[-1] == 24_999
     image = struct.pack("<Qi7di", 1, 7, *[1.0] * 7, 3) + b"a.jpg\0" + struct.pack("<Q", 0)
     assert [len(x) for x in manifest.image_binary(Files([image] * 30))] == [30, 30]
+
+
+def test_jobs_judge_once(spark):
+    """The split, its check and both sides read the eligible rows, not what it took to judge them."""
+    from pyspark.sql import functions as F
+
+    from clipsieve.plans import jobs
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    d = spark.range(20).select(F.lit("o").alias("owner"), F.col("id").cast("string").alias("clip_id"), F.lit("high").alias("kept_tier"), F.lit(400).alias("num_frames")).mapInPandas(count, "owner string, clip_id string, kept_tier string, num_frames int")
+    train, test = jobs.build_window_view(d, 200, per_owner=5)
+    assert (train.count(), test.count(), seen.value) == (30, 10, 20)
+    seen.value = 0
+    train, test, report = jobs.build_recipe(d, per_owner=5)
+    assert (train.count(), test.count(), report.first().eligible, seen.value) == (15, 5, 20, 20)
