@@ -128,13 +128,12 @@ def tar_shards(members: DataFrame) -> DataFrame:
 
 
 def read_tars(files: DataFrame) -> DataFrame:
-    """(path, key, name, content) of the members of tar files given as (path, content)."""
+    """(path, key, name, content) of the members of tar files given as (path, content). Files reach Python by the hundred, not by the
+    Arrow batch, which holds up to 10,000 of them."""
 
-    def rows(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    got = [(path, *m.name.split(".", 1), tar.extractfile(m).read()) for m in tar if m.isfile()]
-                yield pd.DataFrame(got, columns=["path", "key", "name", "content"])
+    def members(content: bytes):
+        with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+            return [(*m.name.split(".", 1), tar.extractfile(m).read()) for m in tar if m.isfile()]
 
-    return files.select("path", "content").mapInPandas(rows, "path string, key string, name string, content binary")
+    read = F.udf(members, "array<struct<key:string,name:string,content:binary>>", useArrow=False)
+    return files.select("path", F.explode(read("content")).alias("m")).select("path", "m.key", "m.name", "m.content")

@@ -52,3 +52,13 @@ def test_jobs_judge_once(spark):
     seen.value = 0
     train, test, report = jobs.build_recipe(d, per_owner=5)
     assert (train.count(), test.count(), report.first().eligible, seen.value) == (15, 5, 20, 20)
+
+
+def test_tars_do_not_come_by_the_arrow_batch(spark):
+    from clipsieve.operators import packing
+
+    d = spark.createDataFrame([(i % 2, f"k{i}", n, b"x" * i) for i in range(6) for n in ("meta.json", "video.mp4")], "shard int, key string, name string, content binary")
+    tars = packing.tar_shards(d).selectExpr("CAST(shard AS STRING) AS path", "tar AS content")
+    out = packing.read_tars(tars)
+    assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.path, r.key, r.name, bytes(r.content)) for r in out.collect()) == sorted((str(i % 2), f"k{i}", n, b"x" * i) for i in range(6) for n in ("meta.json", "video.mp4"))
