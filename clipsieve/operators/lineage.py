@@ -62,6 +62,7 @@ def slice_track(track: Column, start: Column, length: Column) -> Column:
 def export_pointers(kept: DataFrame, manifests: DataFrame, source="source", clip="clip_id", item="item") -> tuple[DataFrame, DataFrame]:
     """(pointers, unmapped): the sorted kept clips of each (source, item), and kept clips that no item holds."""
     keys = [source, clip]
-    m = manifests.select(source, clip, item).distinct()
-    k = kept.select(*keys).distinct()
-    return k.join(m, keys).groupBy(source, item).agg(F.sort_array(F.collect_list(clip)).alias("kept_clips")), k.join(m, keys, "left_anti")
+    m, k = manifests.select(source, clip, item), kept.select(*keys)
+    # the set of an item takes repeats away, so that neither side is made distinct, with its tables in memory, before the join
+    pointers = m.join(k, keys, "left_semi").groupBy(source, item).agg(F.sort_array(F.collect_set(clip)).alias("kept_clips"))
+    return pointers, k.distinct().join(m, keys, "left_anti")

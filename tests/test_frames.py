@@ -62,3 +62,15 @@ def test_tars_do_not_come_by_the_arrow_batch(spark):
     out = packing.read_tars(tars)
     assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.path, r.key, r.name, bytes(r.content)) for r in out.collect()) == sorted((str(i % 2), f"k{i}", n, b"x" * i) for i in range(6) for n in ("meta.json", "video.mp4"))
+
+
+def test_pointers_are_made_distinct_once(spark):
+    from clipsieve.operators import lineage
+
+    kept = spark.createDataFrame([("s", "a"), ("s", "a"), ("s", "b"), ("s", "z"), (None, "a")], "source string, clip_id string")
+    m = spark.createDataFrame([("s", "b", 1), ("s", "a", 1), ("s", "a", 1), ("s", "a", 2), ("s", "c", 2), (None, "a", 3)], "source string, clip_id string, item int")
+    pointers, unmapped = lineage.export_pointers(kept, m)
+    plan = pointers._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    assert sorted((r.source, r.item, r.kept_clips) for r in pointers.collect()) == [("s", 1, ["a", "b"]), ("s", 2, ["a"])]
+    assert sorted((str(r.source), r.clip_id) for r in unmapped.collect()) == [("None", "a"), ("s", "z")]
